@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlens.functions import text
 from eventlens.operators.corpus import lemmas
@@ -148,12 +148,11 @@ def keyword_model(weights: DataFrame) -> Callable[[], Predict]:
 
 def register_class_topic(spark: SparkSession, weights: DataFrame,
                          name: str = "CLASS_TOPIC") -> None:
-    """Register ``CLASS_TOPIC(tokens)`` for SQL; tokens come from the JVM expression
-    ``message_tokens`` of :func:`tokens_view`."""
-    spark.udf.register(name, topic_udf(keyword_model(weights)))
+    """Register ``CLASS_TOPIC(text)`` for SQL.
 
-
-def tokens_view(messages: DataFrame, name: str) -> Column | None:
-    """Temp view of ``messages`` with ``message_tokens`` beside the subject."""
-    (messages.withColumn("message_tokens", text.without_stopwords(
-        text.tokens(F.col("message_subject")))).createOrReplaceTempView(name))
+    Tokens are made by SQL expressions in the JVM; only they go to the Python
+    function, which scores them.
+    """
+    spark.udf.register(f"{name}_OF_TOKENS", topic_udf(keyword_model(weights)))
+    spark.sql(f"create or replace temporary function {name}(subject string) returns string "
+              f"return {name}_OF_TOKENS({text.tokens_sql('subject')})")
