@@ -1 +1,86 @@
-"""."""
+"""LDA: training, listing, inference, report, coherence, perplexity.
+
+The model is random by nature, so these have no SQL twin; tests hold their invariants.
+"""
+
+from pyspark.sql import functions as F
+
+from checks.registry import query
+from checks.words import training_tokens
+from eventlens.operators import coherence
+from eventlens.operators.ranking import number_rows
+from eventlens.plans import topic_model
+from eventlens.session import cut_lineage, scratch_path
+
+_models: dict[tuple[str, str], str] = {}
+_docs: dict[tuple[str, str], object] = {}
+
+
+def prepared(spark, sf):
+    """Training tokens, written once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _docs:
+        _docs[key] = cut_lineage(training_tokens(spark, sf))
+    return _docs[key]
+
+
+def saved_model(spark, sf):
+    """The trained model as an artefact: trained once per session, then loaded."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _models:
+        path = scratch_path(spark, "lda")
+        topic_model.save(topic_model.train(prepared(spark, sf)), path)
+        _models[key] = path
+    return topic_model.load(_models[key])
+
+
+@query()
+def train_lda(spark, sf):
+    """Train, and return each topic's ten heaviest words."""
+    model = topic_model.train(prepared(spark, sf))
+    described = topic_model.describe_topics(spark, model)
+    return described.withColumn("weight", F.round("weight", 6))
+
+
+@query()
+def topic_listing(spark, sf):
+    """The trained topics as weighted-word text, five words each."""
+    return topic_model.topic_listing(
+        topic_model.describe_topics(spark, saved_model(spark, sf), words=5))
+
+
+@query()
+def classify_lda(spark, sf):
+    """Most probable topic of every message."""
+    topics = topic_model.classify(prepared(spark, sf), saved_model(spark, sf), "message_id")
+    return topics.withColumn("share", F.round("share", 4))
+
+
+@query()
+def document_topics(spark, sf):
+    """Every topic of a message with a share of at least 0.01."""
+    return (topic_model.document_topics(prepared(spark, sf), saved_model(spark, sf), "message_id")
+            .withColumn("share", F.round("share", 4)))
+
+
+@query()
+def lda_report(spark, sf):
+    """Document number, dominant topic, its share, its words, the document's tokens."""
+    report = topic_model.report(prepared(spark, sf), saved_model(spark, sf), "message_id")
+    numbered = number_rows(report, ["message_id"], "document_no")
+    return numbered.select("document_no", "dominant_topic", "topic_perc_contrib", "keywords",
+                           F.array_join("text", " ").alias("text"))
+
+
+@query()
+def coherence_cv(spark, sf):
+    """c_v of the trained topics, twenty words each."""
+    words = topic_model.describe_topics(spark, saved_model(spark, sf), words=20)
+    return coherence.coherence(prepared(spark, sf), words.select("topic", "word"))
+
+
+@query()
+def perplexity(spark, sf):
+    bound = topic_model.log_perplexity(prepared(spark, sf), saved_model(spark, sf))
+    documents = prepared(spark, sf).agg(F.count(F.lit(1)).alias("documents"))
+    return documents.withColumn("log_perplexity", F.round(F.lit(bound), 6))

@@ -80,12 +80,14 @@ def topic_weights_parsed(spark, sf):
 
 
 @query(f"""with {WORDS}
-select id, 'topic_weigh' as column_name, cast(length(topic_weigh) as integer) as actual_length,
-       100 as declared_length
-from dim where length(topic_weigh) > 100""")
+select id, 'id' as column_name, cast(length(id) as integer) as actual_length,
+       1 as declared_length from dim where length(id) > 1
+union all
+select id, 'topic_weigh', cast(length(topic_weigh) as integer), 75
+from dim where length(topic_weigh) > 75""")
 def topic_length_violations(spark, sf):
-    """Values longer than the topic table's declared lengths."""
-    return schemas.length_violations(dim_topics(spark, sf), schemas.DIM_TOPICS_LENGTHS, "id")
+    """Values longer than a declared length, here shorter than the topic table's own."""
+    return schemas.length_violations(dim_topics(spark, sf), {"id": 1, "topic_weigh": 75}, "id")
 
 
 SCORED = WORDS + """,
