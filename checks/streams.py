@@ -1 +1,52 @@
-"""."""
+"""Streaming twins: the same tables read as a stream, checked against the same SQL.
+
+A window is emitted once the watermark has passed its end, so the SQL keeps the
+windows that end a minute or more before the last event.
+"""
+
+from pyspark.sql import types as T
+
+from checks.registry import query, rounded
+from checks.transactions import CODE, DOCUMENTED, RESULT, SQUEEZED, _cents, _totals
+from eventlens import schemas
+from eventlens.plans import transactions as rules
+from eventlens.session import scratch_path
+from eventlens.sources import standin
+from eventlens.sources.tables import EVENTS
+from eventlens.streaming import jobs
+
+ONCE = {"availableNow": True}
+CLOSED = ("w_end <= (select max(transaction_datetime) from tx) - interval '1 minute'")
+
+
+def stream_transactions(spark, sf):
+    """The events table as a stream of transactions with a watermark."""
+    events = (spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
+              .parquet(sf))
+    return jobs.with_watermark(standin.as_transactions(events, standin.squeezed_time()))
+
+
+def finished(spark, df, name):
+    """Run a streaming query over all there is; its output folder."""
+    path = scratch_path(spark, name)
+    jobs.write_table_stream(df, path, scratch_path(spark, f"{name}-progress"),
+                            ONCE).awaitTermination()
+    return path
+
+
+@query(_totals(SQUEEZED, "5 minutes") + RESULT + CODE + f" and {CLOSED}")
+def stream_rule_code(spark, sf):
+    """Watermark, five-minute windows, append: the windowed rule as a stream."""
+    path = finished(spark, rules.rule_code(stream_transactions(spark, sf)), "rule_code")
+    return _cents(spark.read.schema(schemas.TRANSACTION_RESULTS).parquet(path))
+
+
+@query(_totals(SQUEEZED, "5 minutes") + DOCUMENTED + f" and {CLOSED}")
+def stream_rule_documented(spark, sf):
+    """Two chained streams: window points, then the last point held as keyed state."""
+    points = finished(spark, jobs.window_points(stream_transactions(spark, sf), "event_id"),
+                      "points")
+    windows = spark.readStream.schema(jobs.points_schema()).parquet(points)
+    path = finished(spark, jobs.documented_rule(windows), "rule_documented")
+    stored = T.StructType([*schemas.TRANSACTION_RESULTS, T.StructField("miles_moved", T.DoubleType())])
+    return rounded(_cents(spark.read.schema(stored).parquet(path)), miles_moved=3)

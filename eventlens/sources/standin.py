@@ -14,7 +14,7 @@ EPOCH_MICROS = 1704067200000000     # 2024-01-01 00:00:00 UTC
 SQUEEZE = 720                       # 30 days of events become one hour
 
 
-def _transactions(events: DataFrame, time) -> DataFrame:
+def as_transactions(events: DataFrame, time) -> DataFrame:
     even = F.col("event_id") % 2 == 0
     return events.select(
         "event_id",
@@ -30,7 +30,7 @@ def _transactions(events: DataFrame, time) -> DataFrame:
 
 def transactions_raw(spark: SparkSession, directory: str) -> DataFrame:
     """``events`` as transactions at their own times, for the ten-hour windows."""
-    return _transactions(read_table(spark, directory, "events"),
+    return as_transactions(read_table(spark, directory, "events"),
                          F.col("ts").cast("timestamp"))
 
 
@@ -41,7 +41,7 @@ def squeezed_time():
 
 def transactions(spark: SparkSession, directory: str) -> DataFrame:
     """As above with the month squeezed into an hour, so that five-minute windows fill."""
-    return _transactions(read_table(spark, directory, "events"), squeezed_time())
+    return as_transactions(read_table(spark, directory, "events"), squeezed_time())
 
 
 def transactions_as_arrived(spark: SparkSession, directory: str) -> DataFrame:
