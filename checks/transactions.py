@@ -117,7 +117,7 @@ prev as (
   from tot),
 moved as (
   select *, {MILES.format(a='previous.', b='point.')} as miles from prev
-  where n > 5 and online > store)
+  where n > 5 and online > store and point is not null and previous is not null)
 select customer, n as count_transactions,
        round(online, 2) as total_online_payment_amount,
        round(store, 2) as total_in_store_payment_amount,

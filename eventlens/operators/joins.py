@@ -30,5 +30,5 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], spread_by: l
         return facts.join(F.broadcast(lookup), on, how)
     salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
     salted_lookup = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return salted_facts.join(salted_lookup, [*on, "_salt"], how).drop("_salt")

@@ -140,13 +140,15 @@ CSV = {"header": "true", "escape": '"', "quote": '"'}
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV files with header in a folder, replacing an older one."""
-    df.write.mode("overwrite").options(**CSV, emptyValue='""').csv(path)
+    df.write.mode("overwrite").options(**CSV).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with header; quoted values may hold line ends. The schema is declared, not inferred.
 
-    Values with line ends make a file unsplittable: keep such files small and many.
+    An unquoted nothing is NULL, a quoted one is empty text: the marker keeps Spark
+    from taking both for NULL. Values with line ends make a file unsplittable: keep
+    such files small and many.
     """
-    return (spark.read.schema(schema).options(**CSV, multiLine="true", enforceSchema="true",
-                                              emptyValue="", nullValue="").csv(path))
+    return (spark.read.schema(schema)
+            .options(**CSV, multiLine="true", emptyValue="", nullValue=r"\N").csv(path))

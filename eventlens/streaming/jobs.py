@@ -20,7 +20,11 @@ CHECKPOINT_EVERY = {"processingTime": "3 seconds"}
 
 def with_watermark(transactions: DataFrame, delay: str = rules.WATERMARK_DELAY,
                    time: str = TIME) -> DataFrame:
-    """Event time with a bounded delay: a row whose window has closed is dropped."""
+    """Event time with a bounded delay: a row whose window has closed is dropped.
+
+    Spark tests a row against the watermark with which the batch before began to
+    emit, so a late row may still count when it comes in the very next batch.
+    """
     return transactions.withWatermark(time, delay)
 
 
