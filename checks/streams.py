@@ -44,9 +44,9 @@ def stream_rule_code(spark, sf):
 @query(_totals(SQUEEZED, "5 minutes") + DOCUMENTED + f" and {CLOSED}")
 def stream_rule_documented(spark, sf):
     """Two chained streams: window points, then the last point held as keyed state."""
-    points = finished(spark, jobs.window_points(stream_transactions(spark, sf), "event_id"),
+    points = finished(spark, rules.windows_with_point(stream_transactions(spark, sf), "event_id"),
                       "points")
-    windows = spark.readStream.schema(jobs.points_schema()).parquet(points)
+    windows = spark.readStream.schema(jobs.WINDOW_POINTS).parquet(points)
     path = finished(spark, jobs.documented_rule(windows), "rule_documented")
     stored = T.StructType([*schemas.TRANSACTION_RESULTS, T.StructField("miles_moved", T.DoubleType())])
     return rounded(_cents(spark.read.schema(stored).parquet(path)), miles_moved=3)

@@ -9,7 +9,7 @@ from eventlens import schemas
 from eventlens.operators import coherence, corpus
 from eventlens.operators.ranking import number_rows
 from eventlens.plans import classify, reports, topic_report
-from eventlens.session import scratch_path
+from eventlens.session import cut_lineage, scratch_path
 from eventlens.sources import standin
 
 _stored: dict[tuple[str, str], str] = {}
@@ -17,7 +17,7 @@ _stored: dict[tuple[str, str], str] = {}
 
 def group_words(docs, k):
     """Each author group is a topic; its words are the group's most frequent tokens."""
-    top = corpus.top_tokens(docs, "author_group", "message_id", k)
+    top = corpus.top_tokens(docs, "author_group", k)
     return topic_report.topic_words(top, F.expr("replace(author_group, 'src', '')"))
 
 
@@ -198,7 +198,7 @@ REPORT = SCORED + KEYWORDS
 
 def report(spark, sf):
     named = topic_report.keywords(group_words(tokens(spark, sf), topic_report.REPORT_WORDS))
-    return topic_report.dominant_topics(scored(spark, sf), named)
+    return topic_report.dominant_topics(scored(spark, sf), cut_lineage(named))
 
 
 @query(f"""with {REPORT} select message_id, dominant_topic,

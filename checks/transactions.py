@@ -101,8 +101,8 @@ def last_location(spark, sf):
     """The last in-store position of each window, NULL if there is none."""
     windows = rules.windows_with_point(standin.transactions(spark, sf), "event_id")
     return windows.select("customer", "last_transaction_time",
-                          F.round("point.lat", 3).alias("last_lat"),
-                          F.round("point.lon", 3).alias("last_lon"))
+                          F.round("point_lat", 3).alias("last_lat"),
+                          F.round("point_lon", 3).alias("last_lon"))
 
 
 MILES = ("2 * 3958.8 * asin(sqrt(least(1.0, pow(sin(radians({b}lat - {a}lat) / 2), 2)"

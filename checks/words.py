@@ -71,7 +71,7 @@ vocab as materialized (
 @query(f"with {VOCAB} select token, doc_freq, term_freq, token_id from vocab")
 def vocabulary(spark, sf):
     """Distinct tokens with ids, document and term frequency."""
-    return corpus.number_vocabulary(corpus.vocabulary(tokens(spark, sf), "message_id"))
+    return corpus.number_vocabulary(corpus.vocabulary(tokens(spark, sf)))
 
 
 @query(f"""with {VOCAB} select message_id, token_id, count(*) as n
@@ -79,14 +79,14 @@ def vocabulary(spark, sf):
 def bow(spark, sf):
     """Bag of words by token id."""
     docs = tokens(spark, sf)
-    numbered = cut_lineage(corpus.number_vocabulary(corpus.vocabulary(docs, "message_id")))
+    numbered = cut_lineage(corpus.number_vocabulary(corpus.vocabulary(docs)))
     return corpus.encode_bag(corpus.bag_of_words(docs, "message_id"), "message_id", numbered)
 
 
 @query(f"""with {ROWS} select (select count(*) from tok) as documents, count(*) as tokens,
                   count(distinct token) as distinct_tokens from rows_""")
 def corpus_stats(spark, sf):
-    return corpus.corpus_stats(tokens(spark, sf), "message_id")
+    return corpus.corpus_stats(tokens(spark, sf))
 
 
 PAIRS = ROWS + """,
@@ -159,7 +159,7 @@ POS_SQL = f"[{', '.join(repr(p) for p in POS)}][length({{0}}) % 6 + 1]"
 def lexicon(docs):
     """Stand-in lexicon of the corpus: it exercises the join and is no linguistics."""
     surface = F.col("surface")
-    return (docs.select(F.explode("tokens").alias("surface")).distinct()
+    return (corpus.spell(docs).select(F.col("token").alias("surface")).distinct()
             .withColumn("lemma", F.regexp_replace(surface, "(ing|ed|s)$", ""))
             .withColumn("pos", F.get(F.array(*[F.lit(p) for p in POS]), F.length(surface) % 6)))
 
@@ -176,7 +176,7 @@ def lemma_pos_filter(spark, sf):
 
 def training_tokens(spark, sf):
     docs = tokens(spark, sf)
-    merged = corpus.apply_bigrams(docs, phrases(docs), "message_id")
+    merged = cut_lineage(corpus.apply_bigrams(docs, phrases(docs), "message_id"))
     return corpus.lemmas(merged, cut_lineage(lexicon(merged)), "message_id")
 
 
@@ -201,7 +201,7 @@ select author_group, string_agg(token, ', ' order by n desc, token) as keywords
 where r <= 10 group by 1""")
 def top_keywords(spark, sf):
     """Ten most frequent tokens per group, joined by commas."""
-    top = corpus.top_tokens(tokens(spark, sf), "author_group", "message_id", 10)
+    top = corpus.top_tokens(tokens(spark, sf), "author_group", 10)
     return (top.groupBy("author_group")
             .agg(F.sort_array(F.collect_list(F.struct("rank", "token"))).alias("_w"))
             .select("author_group", F.array_join(F.col("_w.token"), ", ").alias("keywords")))

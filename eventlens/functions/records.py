@@ -33,9 +33,8 @@ def decode_strict(df: DataFrame, schema: T.StructType, value: str = "value",
     tested as well. The test sits inside the parser's input: it cannot be
     pruned away when only some of the fields are read.
     """
-    v = F.col(value)
-    lacking = missing_fields(v, schema)
-    checked = (F.when(F.json_object_keys(v).isNull(),
+    v, lacking = F.col("_text"), F.col("_lacking")
+    checked = (F.when(lacking.isNull(),
                       F.raise_error(F.concat(F.lit("not a JSON object: "), v)).cast("string"))
                 .when(F.size(lacking) > 0,
                       F.raise_error(F.concat(F.lit("missing fields ["),
@@ -43,7 +42,9 @@ def decode_strict(df: DataFrame, schema: T.StructType, value: str = "value",
                                              F.lit("] in "), v)).cast("string"))
                 .otherwise(v))
     record = F.from_json(checked, schema, {"mode": "FAILFAST"})
-    return df.select(*carry, record.alias("_r")).select(*carry, "_r.*")
+    text = F.col(value)
+    return (df.select(*carry, text.alias("_text"), missing_fields(text, schema).alias("_lacking"))
+            .select(*carry, record.alias("_r")).select(*carry, "_r.*"))
 
 
 def decode_or_quarantine(df: DataFrame, schema: T.StructType,

@@ -16,6 +16,16 @@ SCORE_THRESHOLD = 100
 CONTENT_POS = ("NOUN", "VERB", "ADJ", "ADV")
 
 
+def spell(docs: DataFrame, *keep: str | Column, tokens: str = "tokens") -> DataFrame:
+    """(keep…, token): one row per token.
+
+    The outer form keeps Spark from adding a size test below the generator, which
+    would make every document's tokens a second time, and before a shuffle.
+    """
+    return (docs.select(*keep, F.explode_outer(tokens).alias("token"))
+                .where(F.col("token").isNotNull()))
+
+
 def bag_of_words(docs: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
     """(key, token, n) rows, counted inside each document's row: nothing is shuffled.
 
@@ -23,21 +33,30 @@ def bag_of_words(docs: DataFrame, key: str, tokens: str = "tokens") -> DataFrame
     start to the next is the run's count.
     """
     s, starts = F.col("_sorted"), F.col("_starts")
-    return (docs.where(F.size(tokens) > 0)
-            .select(key, F.sort_array(tokens).alias("_sorted"))
+    return (docs.select(key, F.sort_array(tokens).alias("_sorted"))
             .select(key, "_sorted", F.filter(
-                F.sequence(F.lit(0), F.size("_sorted") - 1),
+                F.sequence(F.lit(0), F.greatest(F.size("_sorted") - 1, F.lit(0))),
                 lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))).alias("_starts"))
-            .select(key, F.inline(F.transform(starts, lambda at, j: F.struct(
+            .select(key, F.inline_outer(F.transform(starts, lambda at, j: F.struct(
                 F.get(s, at).alias("token"),
-                (F.coalesce(F.get(starts, j + 1), F.size(s)) - at).cast("long").alias("n"))))))
+                (F.coalesce(F.get(starts, j + 1), F.size(s)) - at).cast("long").alias("n")))))
+            .where(F.col("token").isNotNull()))
 
 
-def vocabulary(docs: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
-    """(token, doc_freq, term_freq). A frequent token is one row per document before the
-    shuffle and one row per task in it."""
-    return (bag_of_words(docs, key, tokens).groupBy("token")
-            .agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("n").alias("term_freq")))
+def vocabulary(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """(token, doc_freq, term_freq).
+
+    In a document's sorted array the first of equal tokens differs from its left
+    neighbour, so both frequencies are plain sums, and a frequent token is one
+    row per task in the shuffle.
+    """
+    s = F.col("_sorted")
+    beside = F.arrays_zip(s.alias("token"), F.concat(F.array(F.lit("")), s).alias("left"))
+    rows = (docs.select(F.sort_array(tokens).alias("_sorted"))
+                .select(F.inline_outer(beside)).where(F.col("token").isNotNull()))
+    first = (F.col("token") != F.col("left")).cast("long")
+    return (rows.groupBy("token")
+            .agg(F.sum(first).alias("doc_freq"), F.count(F.lit(1)).alias("term_freq")))
 
 
 def number_vocabulary(vocab: DataFrame) -> DataFrame:
@@ -51,31 +70,40 @@ def encode_bag(bag: DataFrame, key: str, numbered: DataFrame) -> DataFrame:
     return lookup_join(bag, ids, ["token"], [key]).select(key, "token_id", "n")
 
 
-def corpus_stats(docs: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
-    """One row: documents, tokens, distinct tokens."""
-    totals = docs.agg(F.count(F.lit(1)).alias("documents"),
-                      F.sum(F.size(tokens)).alias("tokens"))
-    distinct = (docs.select(F.explode(tokens).alias("token"))
-                    .groupBy("token").agg(F.lit(1)).agg(F.count(F.lit(1)).alias("n")))
-    return totals.withColumn("distinct_tokens", distinct.scalar())
+def corpus_stats(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """One row: documents, tokens, distinct tokens. The text is read once."""
+    counts = (docs.select(F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col(tokens)))
+                           .alias("token"))
+                  .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
+    # the NULL that leads every document counts the documents
+    is_doc = F.col("token").isNull()
+    return counts.agg(F.sum(F.when(is_doc, F.col("n"))).alias("documents"),
+                      F.sum(F.when(~is_doc, F.col("n"))).alias("tokens"),
+                      F.count("token").alias("distinct_tokens"))
 
 
 def _adjacent(docs: DataFrame, *keep: str, tokens: str = "tokens") -> DataFrame:
-    """(keep…, pos, a, b): each token with its right neighbour; pos is 0-based."""
+    """(keep…, pos, a, b): each token with its right neighbour, the empty string after the
+    last; pos is 0-based."""
     t = F.col(tokens)
-    return (docs.select(*keep, F.posexplode(F.arrays_zip(
-                t.alias("a"), F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))).alias("b")))
-                .alias("pos", "_p"))
-            .select(*keep, "pos", "_p.a", "_p.b")
-            .where(F.col("b").isNotNull()))
+    right = F.concat(F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))), F.array(F.lit("")))
+    return (docs.select(*keep, F.posexplode_outer(
+                F.arrays_zip(t.alias("a"), right.alias("b"))).alias("pos", "_p"))
+            .select(*keep, "pos", "_p.a", F.coalesce("_p.b", F.lit("")).alias("b"))
+            .where(F.col("a").isNotNull()))
 
 
-def bigram_counts(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """(a, b, n_ab) for every pair of neighbours."""
+def _pair_counts(docs: DataFrame, tokens: str) -> DataFrame:
+    """(a, b, n_ab), with b empty for tokens that end a document."""
     return (_adjacent(docs, tokens=tokens).groupBy("a", "b")
             .agg(F.count(F.lit(1)).alias("n_ab")))
 
 
+def bigram_counts(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """(a, b, n_ab) for every pair of neighbours."""
+    return _pair_counts(docs, tokens).where(F.col("b") != "")
+
+
 def bigram_scores(docs: DataFrame, tokens: str = "tokens", min_count: int = MIN_PAIR_COUNT,
                   threshold: float = SCORE_THRESHOLD) -> DataFrame:
     """Collocations: (a, b, n_a, n_b, n_ab, score) with score above the threshold.
@@ -84,18 +112,24 @@ def bigram_scores(docs: DataFrame, tokens: str = "tokens", min_count: int = MIN_
     V counts distinct tokens and distinct pairs together. A positive threshold
     can only be passed by n_ab > min_count, and both tokens of such a pair occur
     more than min_count times, so the joins see counted, filtered tables only.
+
+    The text is read and shuffled once: every occurrence of a token starts one
+    pair or ends a document, so its count is the sum over its right neighbours.
+    The conditions below are on counts, never on a or b, or Spark would push
+    them under the count and read the text once per use.
     """
     if threshold < 0:
         raise ValueError("threshold must not be negative")
-    pairs = bigram_counts(docs, tokens)
-    words = (docs.select(F.explode(tokens).alias("token")).groupBy("token")
-                 .agg(F.count(F.lit(1)).alias("n")))
-    size = (words.agg(F.count(F.lit(1))).scalar() + pairs.agg(F.count(F.lit(1))).scalar())
+    pairs = _pair_counts(docs, tokens)
+    words = pairs.groupBy("a").agg(F.sum("n_ab").alias("n"))
+    size = (words.agg(F.sum((F.col("n") > 0).cast("long"))).scalar()
+            + pairs.agg(F.sum(((F.col("n_ab") > 0) & (F.col("b") != "")).cast("long"))).scalar())
     common = words.where(F.col("n") > min_count)
     score = ((F.col("n_ab") - min_count) * size).cast("double") / (F.col("n_a") * F.col("n_b"))
+    # no token is empty, so the join on b drops the document ends
     return (pairs.where(F.col("n_ab") > min_count)
-            .join(common.select(F.col("token").alias("a"), F.col("n").alias("n_a")), "a")
-            .join(common.select(F.col("token").alias("b"), F.col("n").alias("n_b")), "b")
+            .join(common.select("a", F.col("n").alias("n_a")), "a")
+            .join(common.select(F.col("a").alias("b"), F.col("n").alias("n_b")), "b")
             .withColumn("score", score)
             .where(F.col("score") > threshold)
             .select("a", "b", "n_a", "n_b", "n_ab", "score"))
@@ -150,12 +184,11 @@ def lemmas(docs: DataFrame, lexicon: DataFrame, key: str, tokens: str = "tokens"
             .select(key, F.col("_l.lemma").alias(tokens)))
 
 
-def top_tokens(docs: DataFrame, group: str, key: str, k: int,
-               tokens: str = "tokens") -> DataFrame:
+def top_tokens(docs: DataFrame, group: str, k: int, tokens: str = "tokens") -> DataFrame:
     """(group, rank, token, n, total): each group's ``k`` most frequent tokens."""
-    counts = (docs.select(group, F.explode(tokens).alias("token"))
-                  .groupBy(group, "token").agg(F.count(F.lit(1)).alias("n")))
-    totals = (docs.groupBy(group)
-                  .agg(F.sum(F.size(tokens)).cast("long").alias("total")))
+    counts = (spell(docs, group, tokens=tokens)
+              .groupBy(group, "token").agg(F.count(F.lit(1)).alias("n")))
+    # from the counts, so that the text is read once
+    totals = counts.groupBy(group).agg(F.sum("n").alias("total"))
     top = top_k_per_group(counts, [group], [F.desc("n"), F.asc("token")], k)
     return top.join(totals, group).select(group, "rank", "token", "n", "total")

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
-MAX_BROADCAST_ROWS = 200_000
-SALTS = 32
+from eventlens.session import cut_lineage
+
+# About a hundred megabytes of (token, lemma, part of speech) rows.
+MAX_BROADCAST_ROWS = 1_000_000
+# A key with more than one in HOT_SHARE of all facts is hot: there are fewer than HOT_SHARE such.
+HOT_SHARE = 1_000
+SALTS = 256
 
 
 def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
@@ -14,21 +21,37 @@ def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], spread_by: list[str],
-                how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS,
-                salts: int = SALTS) -> DataFrame:
-    """Join ``facts`` to a lookup table, exact for any key distribution.
-
-    A lookup of checked size is broadcast and ``facts`` does not move. A larger
-    one is repeated once per salt and joined on (key, salt), so that a key with
-    a third of all facts is shared by ``salts`` tasks. The salt is a hash of
-    ``spread_by``, columns that tell the facts of one key apart, and hence the
-    same when a task is retried. Keep ``lookup`` cheap to read: it is read twice.
+                how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join ``facts`` to a lookup table with unique keys, exact for any distribution of keys.
+
+    A lookup of checked size is broadcast and ``facts`` does not move. For a
+    larger one the facts are counted per key first, which is one row per key and
+    task in the shuffle. Rows of hot keys then get a salt, a hash of
+    ``spread_by`` (columns that tell the facts of one key apart, so a retried
+    task salts alike), and only the hot keys' lookup rows are repeated per salt.
+    Keep ``lookup`` cheap to read: it is read twice.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"how={how!r}: a repeated lookup side would duplicate its own rows")
     if fits(lookup, max_rows):
         return facts.join(F.broadcast(lookup), on, how)
-    salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
-    salted_lookup = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    hot = F.broadcast(hot_keys(facts, on).withColumn("_hot", F.lit(True)))
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS))
+    cold = F.lit(0).cast("long")
+    salted_facts = (facts.join(hot, on, "left")
+                    .withColumn("_salt", F.when(F.col("_hot") | no_key, salt).otherwise(cold))
+                    .drop("_hot"))
+    every = F.sequence(cold, F.lit(SALTS - 1).cast("long"))
+    salted_lookup = (lookup.join(hot, on, "left")
+                     .withColumn("_salt", F.explode(F.when(F.col("_hot"), every)
+                                                     .otherwise(F.array(cold))))
+                     .drop("_hot"))
     return salted_facts.join(salted_lookup, [*on, "_salt"], how).drop("_salt")
+
+
+def hot_keys(facts: DataFrame, on: list[str], share: int = HOT_SHARE) -> DataFrame:
+    """Keys that hold more than one in ``share`` of the rows: fewer than ``share`` of them."""
+    counts = cut_lineage(facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    return counts.where(F.col("_n") * share > total).select(*on)

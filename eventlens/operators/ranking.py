@@ -27,15 +27,15 @@ def first_argmax(values: Column) -> Column:
 
 def number_rows(df: DataFrame, order: Sequence[str], alias: str,
                 partitions: int | None = None) -> DataFrame:
-    """Add a 0-based gapless number in ``order`` without sorting everything in one task.
+    """Add a 0-based gapless number in ``order``, a unique key, without one task for all.
 
     Rows are range-partitioned and sorted in place; the position inside a
     partition plus the sizes of the partitions before it is the number. The
     sorted rows are materialised once, so both uses see the same partitions.
     """
-    n = partitions or max(df.sparkSession.sparkContext.defaultParallelism, 1)
+    ranges = [partitions, *order] if partitions else order
     at = F.monotonically_increasing_id()    # partition in the high bits, position in the low 33
-    ordered = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ordered = cut_lineage(df.repartitionByRange(*ranges).sortWithinPartitions(*order)
                             .withColumn("_at", at))
     placed = (ordered.withColumn("_part", F.shiftright("_at", 33))
                      .withColumn("_pos", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))))

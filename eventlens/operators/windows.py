@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 TIME = "transaction_datetime"
@@ -30,27 +31,39 @@ def tumbling_totals(transactions: DataFrame, width: str, *extra: Column,
             .drop("w"))
 
 
-def last_in_store_point(*tie_break: str, time: str = TIME) -> Column:
-    """Aggregate: the true position of the latest in-store row, NULL if there is none.
+def last_in_store_point(width: str, tie_break: str | None = None,
+                        time: str = TIME) -> tuple[Column, Column]:
+    """Aggregates ``point_lat``, ``point_lon``: the true position of the window's latest
+    in-store row, NULL if there is none.
 
-    Rows without an in-store payment get a NULL ordering, which ``max_by`` skips.
-    ``tie_break`` columns decide between rows of the same instant; without any,
-    the position itself does.
+    The order within a window is one whole number, time since the window's start
+    and then ``tie_break`` (or a hash of the position) in the bits left over.
+    Both columns follow the same order, so they come from the same row. With a
+    number to order by, Spark aggregates in a hash table; an order by a struct
+    would sort all transactions first, which took three times as long.
     """
-    order = F.struct(time, *(tie_break or ("lat", "lon")))
-    return F.max_by(F.struct("lat", "lon"),
-                    F.when(F.col("in_store_payment_amount") > 0, order))
+    span = int(pd.Timedelta(width) / pd.Timedelta(microseconds=1))
+    room = 1 << (63 - span.bit_length())
+    tie = F.col(tie_break) if tie_break else F.xxhash64("lat", "lon")
+    since_start = F.pmod(F.unix_micros(time), F.lit(span))
+    order = F.when(F.col("in_store_payment_amount") > 0,
+                   since_start * F.lit(room) + F.pmod(tie, F.lit(room)))
+    return (F.max_by("lat", order).alias("point_lat"),
+            F.max_by("lon", order).alias("point_lon"))
 
 
 def previous_point(windows: DataFrame) -> DataFrame:
-    """Add ``previous``: the customer's latest in-store point of any earlier window.
+    """Add ``previous_lat``, ``previous_lon``: the customer's latest in-store point of any
+    earlier window.
 
     The frame holds one row per customer and window, so a partition here is as
     long as the customer's windows, whatever the number of transactions.
     """
     before = (Window.partitionBy("customer").orderBy("last_transaction_time")
               .rowsBetween(Window.unboundedPreceding, -1))
-    return windows.withColumn("previous", F.last("point", ignorenulls=True).over(before))
+    return windows.withColumns({
+        "previous_lat": F.last("point_lat", ignorenulls=True).over(before),
+        "previous_lon": F.last("point_lon", ignorenulls=True).over(before)})
 
 
 def running_max_before(df: DataFrame, value: str, order: str, alias: str,

@@ -58,33 +58,33 @@ def rule_documented_basic(transactions: DataFrame, width: str = SHORT_WINDOW) ->
     return documented_counts(tumbling_totals(transactions, width).select(*RESULT))
 
 
-def windows_with_point(transactions: DataFrame, *tie_break: str,
+def windows_with_point(transactions: DataFrame, tie_break: str | None = None,
                        width: str = SHORT_WINDOW, time: str = TIME) -> DataFrame:
-    """Window totals plus ``point``: the last in-store position inside the window."""
-    point = last_in_store_point(*tie_break, time=time).alias("point")
-    return tumbling_totals(transactions, width, point, time=time).select(*RESULT, "point")
+    """Window totals plus the last in-store position inside the window."""
+    point = last_in_store_point(width, tie_break, time)
+    return (tumbling_totals(transactions, width, *point, time=time)
+            .select(*RESULT, "point_lat", "point_lon"))
 
 
 def moved(windows: DataFrame, miles: float = DOCUMENTED_MILES) -> DataFrame:
-    """Keep windows whose point lies more than ``miles`` from ``previous``.
+    """Keep windows whose point lies more than ``miles`` from the previous one.
 
     The result's ``lat`` and ``lon`` are the point itself. A window without a
-    point, or without an earlier one, is no hit.
+    point, or without an earlier one, is no hit: its distance is NULL.
     """
-    distance = haversine_miles(F.col("previous.lat"), F.col("previous.lon"),
-                               F.col("point.lat"), F.col("point.lon"))
+    distance = haversine_miles(*[F.col(c) for c in ("previous_lat", "previous_lon",
+                                                    "point_lat", "point_lon")])
     return (windows.withColumn("miles_moved", distance)
             .where(F.col("miles_moved") > miles)
-            .withColumn("lat", F.col("point.lat"))
-            .withColumn("lon", F.col("point.lon"))
+            .withColumns({"lat": F.col("point_lat"), "lon": F.col("point_lon")})
             .select(*RESULT, "miles_moved"))
 
 
-def rule_documented(transactions: DataFrame, *tie_break: str,
+def rule_documented(transactions: DataFrame, tie_break: str | None = None,
                     width: str = SHORT_WINDOW) -> DataFrame:
     """Documented rule: counts and amounts as above, and the customer moved since the
     last in-store point of an earlier window."""
-    windows = previous_point(windows_with_point(transactions, *tie_break, width=width))
+    windows = previous_point(windows_with_point(transactions, tie_break, width))
     return moved(documented_counts(windows))
 
 

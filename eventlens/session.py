@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Only what results or memory safety depend on. Shuffle partition counts belong
 # to the cluster, so they are never set here.
@@ -66,10 +66,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the shared folder so that later reads see the same rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it from there.
+
+    Later reads see the same rows whatever happens to an executor, read only the
+    columns they need, and the planner knows the size.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _is_set(spark: SparkSession, key: str) -> bool:

@@ -12,7 +12,7 @@ from eventlens.functions.records import decode_strict
 from eventlens.operators.windows import TIME
 from eventlens.plans import transactions as rules
 from eventlens.plans.classify import classified_messages
-from eventlens.schemas import TRANSACTIONS
+from eventlens.schemas import TRANSACTION_RESULTS, TRANSACTIONS
 
 # Fixed value: how often the job commits its progress.
 CHECKPOINT_EVERY = {"processingTime": "3 seconds"}
@@ -43,33 +43,24 @@ def write_table_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict)
 # --- documented rule: the last point of the window before -------------------
 
 _STATE = T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())])
-_POINT = ["point_lat", "point_lon"]
-_PREVIOUS = ["previous_lat", "previous_lon"]
 
 
-def window_points(transactions: DataFrame, *tie_break: str) -> DataFrame:
-    """First query: window totals with the last in-store point, as flat columns."""
-    return (rules.windows_with_point(transactions, *tie_break)
-            .select(*rules.RESULT, F.col("point.lat").alias("point_lat"),
-                    F.col("point.lon").alias("point_lon")))
+def _with_doubles(schema: T.StructType, *names: str) -> T.StructType:
+    return T.StructType([*schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
 
 
-def points_schema() -> T.StructType:
-    from eventlens.schemas import TRANSACTION_RESULTS
-    return T.StructType(TRANSACTION_RESULTS.fields
-                        + [T.StructField(c, T.DoubleType()) for c in _POINT])
+# the rows of the first query, rules.windows_with_point, and of the second
+WINDOW_POINTS = _with_doubles(TRANSACTION_RESULTS, "point_lat", "point_lon")
+TRACKED = _with_doubles(WINDOW_POINTS, "previous_lat", "previous_lon")
 
 
 def with_previous_point(windows: DataFrame) -> DataFrame:
-    """Second query: add each window's ``previous`` point from keyed state.
+    """Second query: add each window's previous point from keyed state.
 
     The state is one point per customer. The rows of a batch are the customer's
     windows that closed since the last one, in the order of their ends; a window
     never closes after a later one, so batches come in order too.
     """
-    schema = T.StructType(points_schema().fields
-                          + [T.StructField(c, T.DoubleType()) for c in _PREVIOUS])
-
     def carry(key: tuple, parts: Iterator[pd.DataFrame],
               state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(parts)).sort_values("last_transaction_time")
@@ -83,15 +74,11 @@ def with_previous_point(windows: DataFrame) -> DataFrame:
             state.update((float(lat), float(lon)))
         yield rows
 
-    tracked = (windows.groupBy("customer").applyInPandasWithState(
-        carry, schema, _STATE, "append", GroupStateTimeout.NoTimeout))
-
-    def point(prefix: str):
-        lat, lon = F.nanvl(F.col(f"{prefix}_lat"), F.lit(None)), \
-            F.nanvl(F.col(f"{prefix}_lon"), F.lit(None))
-        return F.when(lat.isNotNull(), F.struct(lat.alias("lat"), lon.alias("lon")))
-    return tracked.select(*rules.RESULT, point("point").alias("point"),
-                          point("previous").alias("previous"))
+    tracked = windows.groupBy("customer").applyInPandasWithState(
+        carry, TRACKED, _STATE, "append", GroupStateTimeout.NoTimeout)
+    # a missing number comes back from pandas as NaN
+    points = TRACKED.names[len(TRANSACTION_RESULTS):]
+    return tracked.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in points})
 
 
 def documented_rule(windows: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ def test_bag_of_words(docs):
 
 
 def test_vocabulary_ids_and_frequencies(docs):
-    rows = corpus.number_vocabulary(corpus.vocabulary(docs, "id")).collect()
+    rows = corpus.number_vocabulary(corpus.vocabulary(docs)).collect()
     tf = Counter(t for _, ts in DOCS for t in ts)
     df = Counter(t for _, ts in DOCS for t in set(ts))
     ids = {t: i for i, t in enumerate(sorted(tf))}
@@ -39,7 +39,7 @@ def test_unknown_tokens_are_dropped(spark, docs):
 
 
 def test_stats(docs):
-    r = corpus.corpus_stats(docs, "id").first()
+    r = corpus.corpus_stats(docs).first()
     assert (r.documents, r.tokens, r.distinct_tokens) == (
         60, sum(len(ts) for _, ts in DOCS), len({t for _, ts in DOCS for t in ts}))
 

@@ -101,9 +101,9 @@ def test_last_point_is_kept_across_batches(spark, tmp_path):
     wire = tmp_path / "wire"
     for i, part in enumerate(items):
         write_slice(rows(spark, *part), wire, i)
-    points = jobs.window_points(jobs.transactions_from_records(record_stream(spark, wire)))
+    points = rules.windows_with_point(jobs.transactions_from_records(record_stream(spark, wire)))
     run(points, tmp_path / "points", tmp_path / "cp1")
-    windows = (spark.readStream.schema(jobs.points_schema()).option("maxFilesPerTrigger", "1")
+    windows = (spark.readStream.schema(jobs.WINDOW_POINTS).option("maxFilesPerTrigger", "1")
                .parquet(str(tmp_path / "points")))
     query = run(jobs.documented_rule(windows), tmp_path / "out", tmp_path / "cp2")
     assert sum(p.numInputRows > 0 for p in query.recentProgress) > 1

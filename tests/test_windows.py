@@ -61,7 +61,8 @@ def test_documented_rule_looks_past_windows_without_a_point(spark):
 
 def test_last_point_is_a_visited_one(spark):
     rows = tx(spark, ("a", 0, 0, 1, 44.9, 20.2), ("a", 1, 0, 1, 44.6, 20.6), ("a", 2, 1, 0, 44.7, 20.3))
-    assert tuple(rules.windows_with_point(rows).first().point) == (44.6, 20.6)
+    r = rules.windows_with_point(rows).first()
+    assert (r.point_lat, r.point_lon) == (44.6, 20.6)
 
 
 def test_box_readings_differ(spark):
