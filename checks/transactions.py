@@ -88,6 +88,14 @@ def geo_box_having(spark, sf):
     return _cents(rules.geo_box_having(standin.transactions_raw(spark, sf)))
 
 
+@query(_totals(RAW, "10 hours") + RESULT + CODE
+       + " and max_lat > 44.57 and max_lat < 44.91 and max_lon > 20.20 and max_lon < 20.62")
+def rule_sql_10h(spark, sf):
+    """The ten-hour rule as SQL over a named table."""
+    standin.transactions_raw(spark, sf).createOrReplaceTempView("customer_table")
+    return _cents(spark.sql(rules.rule_sql("customer_table")))
+
+
 @query(_totals(SQUEEZED, "5 minutes") + RESULT + " where n > 5 and online > store")
 def rule_documented_basic(spark, sf):
     return _cents(rules.rule_documented_basic(standin.transactions(spark, sf)))
@@ -165,7 +173,6 @@ select event_id, customer, arrival_offset,
 from late""")
 def late_rows_audit(spark, sf):
     """Rows behind the watermark when they arrive; scanned in blocks, not in one task."""
-    audit = rules.LateAudit(block=1000)
-    late = rules.late_rows_audit(standin.transactions_as_arrived(spark, sf), audit)
+    late = rules.late_rows_audit(standin.transactions_as_arrived(spark, sf))
     return late.select("event_id", "customer", "arrival_offset", "transaction_datetime",
                        "watermark", "window_end", "dropped")

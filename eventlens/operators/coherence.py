@@ -14,7 +14,7 @@ from eventlens.operators.joins import fits
 WINDOW = 110
 EPSILON = 1e-12
 
-MAX_WORDS = 5_000       # distinct topic words; their pair counts are held by every task
+MAX_WORDS = 2_000       # distinct topic words; their pair counts are held by every task
 BLOCK = 4_096           # windows looked at together
 
 

@@ -38,7 +38,11 @@ def weekly_top_topics(classified: DataFrame, series: int = SERIES) -> DataFrame:
     # totals come from the weekly counts, so the messages are read once
     top = (weekly.groupBy("topic_description").agg(F.sum("n").alias("total"))
                  .orderBy(F.desc("total"), F.asc("topic_description")).limit(series))
-    return weekly.join(F.broadcast(top), "topic_description", "left_semi")
+    chosen = F.broadcast(top.select(F.col("topic_description").alias("_chosen")))
+    # Null-safe, as a missing label is a series too. Inner, as Spark would push a semi join
+    # below the count and classify twice; the chosen labels are distinct.
+    return weekly.join(chosen, F.col("topic_description").eqNullSafe(F.col("_chosen"))) \
+                 .drop("_chosen")
 
 
 def top_within_week(classified: DataFrame, k: int = SERIES) -> DataFrame:

@@ -47,6 +47,28 @@ def geo_box_having(transactions: DataFrame, width: str = LONG_WINDOW,
     return rule_code(transactions, width).where(inside_box(F.col("lat"), F.col("lon"), **box))
 
 
+def rule_sql(table: str, width: str = LONG_WINDOW, min_count: int = CODE_MIN_COUNT,
+             box: dict = RULE_BOX) -> str:
+    """The rule with its box on the maxima, as one SQL statement over a named table.
+
+    The table may be a view of a stream. Conditions on aggregates are a HAVING.
+    """
+    return f"""
+        select customer,
+               cast(count(transaction_type) as double) as count_transactions,
+               sum(online_payment_amount) as total_online_payment_amount,
+               sum(in_store_payment_amount) as total_in_store_payment_amount,
+               max(lat) as lat,
+               max(lon) as lon,
+               window.end as last_transaction_time
+        from {table}
+        group by window(transaction_datetime, '{width}'), customer
+        having sum(online_payment_amount) < sum(in_store_payment_amount)
+           and count(transaction_type) >= {min_count}
+           and max({table}.lat) > {box["lat_min"]} and max({table}.lat) < {box["lat_max"]}
+           and max({table}.lon) > {box["lon_min"]} and max({table}.lon) < {box["lon_max"]}"""
+
+
 def documented_counts(windows: DataFrame) -> DataFrame:
     """More than five transactions, and more paid online than in store."""
     return windows.where((F.col("count_transactions") > DOCUMENTED_MIN_COUNT)

@@ -27,7 +27,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
     for key, value in PREFERRED.items():
-        if not _is_set(spark, key):
+        if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     return spark
 
@@ -78,5 +78,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _is_set(spark: SparkSession, key: str) -> bool:
-    return spark.sparkContext.getConf().contains(key)
+def ship_package(spark: SparkSession, archive: str) -> None:
+    """Put a zip or wheel of Python code on every worker's path, before user models run."""
+    spark.sparkContext.addPyFile(archive)
+
+
+def ship_archive(spark: SparkSession, archive: str, name: str) -> None:
+    """Unpack an archive (a model's files) on every worker under ``name``."""
+    spark.sparkContext.addArchive(f"{archive}#{name}")
