@@ -29,7 +29,7 @@ def saved_model(spark, sf):
     key = (spark.sparkContext.applicationId, sf)
     if key not in _models:
         path = scratch_path(spark, "lda")
-        topic_model.save(topic_model.train(prepared(spark, sf)), path)
+        topic_model.save(topic_model.train(prepared(spark, sf), "message_id"), path)
         _models[key] = path
     return topic_model.load(_models[key])
 
@@ -37,7 +37,7 @@ def saved_model(spark, sf):
 @query()
 def train_lda(spark, sf):
     """Train, and return each topic's ten heaviest words."""
-    model = topic_model.train(prepared(spark, sf))
+    model = topic_model.train(prepared(spark, sf), "message_id")
     described = topic_model.describe_topics(spark, model)
     return described.withColumn("weight", F.round("weight", 6))
 

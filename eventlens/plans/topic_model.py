@@ -7,12 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from eventlens.operators.corpus import vocabulary
 from eventlens.operators.ranking import first_argmax
-from eventlens.session import cut_lineage
+from eventlens.session import cut_lineage, cut_lineage_in_place
 
 
 @dataclass(frozen=True)
@@ -41,21 +42,46 @@ class Training:
         return per_pass * self.passes, 1.0 / per_pass
 
 
-def train(docs: DataFrame, settings: Training = Training(),
+def dictionary(docs: DataFrame, size: int, tokens: str = "tokens") -> list[str]:
+    """The model's words, most frequent first, then by name: the same for the same corpus.
+
+    If there are more than ``size``, the rarest frequencies that no longer fit
+    are left out, as the training job's dictionary does. At most ``size`` words
+    come to the driver, which holds the model anyway.
+    """
+    words = cut_lineage(vocabulary(docs, tokens))
+    if words.count() > size:
+        so_far = F.sum("n").over(Window.orderBy(F.desc("term_freq")))
+        by_frequency = words.groupBy("term_freq").agg(F.count(F.lit(1)).alias("n"))
+        rarest = (by_frequency.withColumn("so_far", so_far).where(F.col("so_far") <= size)
+                  .agg(F.min("term_freq")).first()[0])
+        if rarest is None:
+            raise ValueError(f"more than {size} words share the highest frequency")
+        words = words.where(F.col("term_freq") >= rarest)
+    ordered = words.orderBy(F.desc("term_freq"), F.asc("token")).select("token")
+    return [r.token for r in ordered.collect()]
+
+
+def train(docs: DataFrame, key: str, settings: Training = Training(),
           tokens: str = "tokens") -> PipelineModel:
-    """Dictionary, bag of words and LDA as one saved-and-loaded model.
+    """Dictionary, bag of words and LDA as one model that can be saved and loaded.
 
     The bags of words are written once to the shared folder: the updates scan
-    them again and again, and must not tokenise again or lose them with an executor.
+    them again and again, and must not tokenise again or lose them with an
+    executor. They are laid out by key, so that a seed draws the same documents
+    in every run, in one partition per core: every partition adds a matrix of
+    topics x words to each update.
     """
-    dictionary = CountVectorizer(inputCol=tokens, outputCol="bag",
-                                 vocabSize=settings.vocabulary, minDF=1.0).fit(docs)
-    bags = cut_lineage(dictionary.transform(docs).select("bag"))
+    bagger = CountVectorizerModel.from_vocabulary(
+        dictionary(docs, settings.vocabulary, tokens), inputCol=tokens, outputCol="bag")
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    bags = cut_lineage_in_place(bagger.transform(docs).select(key, "bag")
+                                .repartition(cores, key).sortWithinPartitions(key))
     updates, portion = settings.schedule(bags.count())
     lda = LDA(k=settings.topics, seed=settings.seed, optimizer="online", featuresCol="bag",
               maxIter=updates, subsamplingRate=portion, optimizeDocConcentration=True,
               learningOffset=1.0, learningDecay=0.5)
-    return PipelineModel([dictionary, lda.fit(bags)])
+    return PipelineModel([bagger, lda.fit(bags)])
 
 
 def save(model: PipelineModel, path: str) -> None:

@@ -18,7 +18,7 @@ def docs(spark):
 
 @pytest.fixture(scope="module")
 def model(docs):
-    return topic_model.train(docs, SETTINGS)
+    return topic_model.train(docs, "id", SETTINGS)
 
 
 def answers(docs, model):
@@ -49,7 +49,14 @@ def test_saved_model_gives_the_same(docs, model, tmp_path):
 
 
 def test_same_seed_same_model(docs, model):
-    assert answers(docs, topic_model.train(docs, SETTINGS)) == answers(docs, model)
+    assert answers(docs, topic_model.train(docs, "id", SETTINGS)) == answers(docs, model)
+
+
+def test_dictionary_is_ordered_and_bounded_by_whole_frequencies(spark):
+    df = spark.createDataFrame([(list("aaabbccd"),), (list("e"),)], "tokens array<string>")
+    assert topic_model.dictionary(df, 10) == list("abcde")
+    assert topic_model.dictionary(df, 4) == list("abc")
+    assert topic_model.dictionary(df, 2) == ["a"]
 
 
 def test_schedule_uses_all_documents_and_bounds_updates():
