@@ -146,7 +146,7 @@ union all
 select message_id, '' from tok where len(tokens) = 0""")
 def bigram_apply(spark, sf):
     """Neighbours that form a phrase become one token, left to right, without overlap."""
-    docs = tokens(spark, sf)
+    docs = cut_lineage(tokens(spark, sf))       # read three times
     return _text(corpus.apply_bigrams(docs, phrases(docs), "message_id"))
 
 
@@ -175,7 +175,7 @@ def lemma_pos_filter(spark, sf):
 
 
 def training_tokens(spark, sf):
-    docs = tokens(spark, sf)
+    docs = cut_lineage(tokens(spark, sf))
     merged = cut_lineage(corpus.apply_bigrams(docs, phrases(docs), "message_id"))
     return corpus.lemmas(merged, cut_lineage(lexicon(merged)), "message_id")
 

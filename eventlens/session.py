@@ -16,7 +16,9 @@ REQUIRED = {
 PREFERRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # keyed streaming state outgrows the heap long before the disk
+}
+# For sessions made here: keyed streaming state outgrows the heap long before the disk.
+STREAMING = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -37,7 +39,7 @@ def build_session(app_name: str = "eventlens", master: str | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**REQUIRED, **PREFERRED, **(conf or {})}.items():
+    for key, value in {**REQUIRED, **PREFERRED, **STREAMING, **(conf or {})}.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate())
 

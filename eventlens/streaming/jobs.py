@@ -12,7 +12,8 @@ from eventlens.functions.records import decode_strict
 from eventlens.operators.windows import TIME
 from eventlens.plans import transactions as rules
 from eventlens.plans.classify import classified_messages
-from eventlens.schemas import TRANSACTION_RESULTS, TRANSACTIONS
+from eventlens.schemas import (MESSAGE_TOPICS_LENGTHS, TRANSACTION_RESULTS, TRANSACTIONS,
+                               enforce_lengths)
 
 # Fixed value: how often the job commits its progress.
 CHECKPOINT_EVERY = {"processingTime": "3 seconds"}
@@ -100,7 +101,8 @@ def classify_each_batch(weights: Table, dim_topics: Table,
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        sink(classified_messages(batch, weights(spark), dim_topics(spark)), batch_id)
+        classified = classified_messages(batch, weights(spark), dim_topics(spark))
+        sink(enforce_lengths(classified, MESSAGE_TOPICS_LENGTHS), batch_id)
     return run
 
 
