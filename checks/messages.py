@@ -9,6 +9,7 @@ from eventlens.operators.ranking import number_rows
 from eventlens.operators.upsert import merge_by_key
 from eventlens.plans import reports
 from eventlens.plans.classify import with_processing_time
+from eventlens.session import cut_lineage
 from eventlens.sources import standin
 
 # Beside standin.messages: the same view for DuckDB.
@@ -103,7 +104,7 @@ def upsert_topics(spark, sf):
     fresh = m.select(F.concat(F.lit("new-"), "message_id").alias("message_id"), *columns[1:])
     updates = replies.unionByName(fresh).withColumn("version", F.lit(1))
     order = ["message_date", "message_from_name"]
-    once = merge_by_key(existing, updates, ["message_id"], order)
+    once = cut_lineage(merge_by_key(existing, updates, ["message_id"], order))
     return merge_by_key(once, updates, ["message_id"], order)
 
 

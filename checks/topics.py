@@ -147,12 +147,12 @@ def classified_messages(spark, sf):
 def class_topic_sql(spark, sf):
     """The classifier as a named SQL function, in the job's own SQL shape."""
     classify.register_class_topic(spark, weights(spark, sf))
-    standin.spread_messages(spark, sf).createOrReplaceTempView("user_ml_messages")
+    standin.spread_messages(spark, sf).createOrReplaceTempView("messages")
     known_topics(spark, sf).createOrReplaceTempView("dim_topics")
     return spark.sql("""
         with topics as (
           select message_id, CLASS_TOPIC(message_subject) as topic_id
-          from user_ml_messages where message_subject is not null)
+          from messages where message_subject is not null)
         select t.message_id, t.topic_id as topic
         from topics t join dim_topics dim on t.topic_id = dim.id""")
 

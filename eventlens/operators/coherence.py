@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventlens.operators.joins import fits
+from eventlens.session import cut_lineage
 
 # Window size and smoothing of the measure.
 WINDOW = 110
@@ -27,7 +28,8 @@ def window_counts(docs: DataFrame, topic_words: DataFrame, tokens: str = "tokens
 
     Each task slides over its own documents and emits one partial count per word
     pair, so the shuffle is bounded by the topics' words, not by the text. Only
-    the topic words' positions leave the JVM.
+    the topic words' positions leave the JVM. The counts are written once, since
+    Spark would run the Python part again for each of their uses.
     """
     if not fits(topic_words, MAX_WORDS):
         raise ValueError(f"more than {MAX_WORDS} topic words")
@@ -75,7 +77,7 @@ def window_counts(docs: DataFrame, topic_words: DataFrame, tokens: str = "tokens
     found = docs.select(F.size(tokens).alias("length"), placed.alias("_p")).select(
         "length", F.col("_p.at").alias("at"), F.col("_p.word").alias("found"))
     partial = found.mapInPandas(count, "a string, b string, n long")
-    return partial.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return cut_lineage(partial.groupBy("a", "b").agg(F.sum("n").alias("n")))
 
 
 def npmi(pair: Column, a: Column, b: Column) -> Column:

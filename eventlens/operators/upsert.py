@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from eventlens.session import cut_lineage
+
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the last in ``order``, whole. Copies of a hot key are reduced in
@@ -19,8 +21,9 @@ def merge_by_key(existing: DataFrame, updates: DataFrame, key: Sequence[str],
                  order: Sequence[str]) -> DataFrame:
     """``existing`` with the updates' keys replaced; replaying the updates changes nothing.
 
-    ``existing`` must have unique keys; a small batch of updates is broadcast by
-    Spark's own size estimate, and the large table then stays in place.
+    ``existing`` must have unique keys. The last updates are written once, so that
+    Spark knows their size: a small batch is broadcast and the large table then
+    stays in place.
     """
-    last = latest_per_key(updates, key, order).select(*existing.columns)
+    last = cut_lineage(latest_per_key(updates, key, order).select(*existing.columns))
     return existing.join(last, list(key), "left_anti").unionByName(last)
