@@ -7,7 +7,7 @@ from checks.transactions import RAW, TIME_TEXT
 from eventlens import schemas
 from eventlens.functions import records, times
 from eventlens.sources import standin
-from eventlens.sources.tables import read_table
+from eventlens.sources.tables import read_table, spread
 
 PROPS = T.StructType([T.StructField("k", T.LongType())])
 
@@ -60,7 +60,7 @@ def json_encode(spark, sf):
            from ({RAW})""")
 def json_record_roundtrip(spark, sf):
     """Whole transaction records written as JSON text and read back strictly."""
-    tx = standin.transactions_raw(spark, sf)
+    tx = spread(standin.transactions_raw(spark, sf), "event_id")
     wire = tx.select("event_id", records.encode(*schemas.TRANSACTIONS.fieldNames()).alias("value"))
     back = records.decode_strict(wire, schemas.TRANSACTIONS, carry=("event_id",))
     return back.withColumns({"online_payment_amount": F.round("online_payment_amount", 2),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventlens.operators.joins import lookup_join
 from eventlens.operators.ranking import number_rows, top_k_per_group
+from eventlens.session import cut_lineage
 
 # Collocation and part-of-speech settings of the training job.
 MIN_PAIR_COUNT = 5
@@ -115,15 +116,14 @@ def bigram_scores(docs: DataFrame, tokens: str = "tokens", min_count: int = MIN_
 
     The text is read and shuffled once: every occurrence of a token starts one
     pair or ends a document, so its count is the sum over its right neighbours.
-    The conditions below are on counts, never on a or b, or Spark would push
-    them under the count and read the text once per use.
+    The pair counts are written once, as four steps below read them.
     """
     if threshold < 0:
         raise ValueError("threshold must not be negative")
-    pairs = _pair_counts(docs, tokens)
+    pairs = cut_lineage(_pair_counts(docs, tokens))
     words = pairs.groupBy("a").agg(F.sum("n_ab").alias("n"))
-    size = (words.agg(F.sum((F.col("n") > 0).cast("long"))).scalar()
-            + pairs.agg(F.sum(((F.col("n_ab") > 0) & (F.col("b") != "")).cast("long"))).scalar())
+    size = (words.agg(F.count(F.lit(1))).scalar()
+            + pairs.where(F.col("b") != "").agg(F.count(F.lit(1))).scalar())
     common = words.where(F.col("n") > min_count)
     score = ((F.col("n_ab") - min_count) * size).cast("double") / (F.col("n_a") * F.col("n_b"))
     # no token is empty, so the join on b drops the document ends
