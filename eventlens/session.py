@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -48,19 +49,24 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's reliable folder, from ``spark.checkpoint.dir``.
 
     Data that must outlive an executor (cut lineage, stream checkpoints, model
-    artefacts) goes below it. Only a local session without the setting gets a
-    temporary folder; on a cluster a missing setting is an error, because a
-    machine-local path would be invisible to the other machines.
+    artefacts) goes below it. Only a session that is a single process (``local[...]``) and
+    has no such setting gets a temporary folder, one for its lifetime; on a cluster, also one
+    of local processes, a missing setting is an error, because a machine-local path would be
+    invisible to the other machines. The session's settings are not changed.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        configured = tempfile.mkdtemp(prefix="eventlens-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured)
-    return configured
+    if configured:
+        return configured
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    if sc.applicationId not in _local:
+        _local[sc.applicationId] = tempfile.mkdtemp(prefix="eventlens-")
+    return _local[sc.applicationId]
+
+
+#: Temporary folders of single-process sessions, by application.
+_local: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -82,7 +88,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def cut_lineage_in_place(df: DataFrame) -> DataFrame:
     """As :func:`cut_lineage`, but each partition keeps its rows and their order."""
-    shared_dir(df.sparkSession)
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
