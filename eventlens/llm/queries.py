@@ -9,9 +9,9 @@ from __future__ import annotations
 from functools import wraps
 
 from eventlens.session import prepare
-from eventlens.llm import mixing
+from eventlens.llm import merkle, mixing, secrets, token_store, warc
 
-MODULES = (mixing,)
+MODULES = (warc, token_store, merkle, secrets, mixing)
 
 
 def queries():
