@@ -9,9 +9,9 @@ from __future__ import annotations
 from functools import wraps
 
 from eventlens.session import prepare
-from eventlens.llm import merkle, mixing, secrets, token_store, warc
+from eventlens.llm import codec, merkle, mixing, quality, secrets, token_counts, token_store, warc
 
-MODULES = (warc, token_store, merkle, secrets, mixing)
+MODULES = (token_counts, quality, warc, token_store, merkle, codec, secrets, mixing)
 
 
 def queries():

@@ -22,7 +22,6 @@ Defined results
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -32,14 +31,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from eventlens.session import scratch_path
 from eventlens.llm.common import table, whole
+from eventlens.llm.pieces import AT_A_TIME, REMEMBERED, cut
 
 END_ID = 2
-#: Pieces that a worker remembers, and texts that it takes at a time.
-REMEMBERED = 500_000
-AT_A_TIME = 256
-#: Python's blanks hold all that the tokenizer splits at, so both sides are surely not blank.
-CUT = re.compile(r"(?<=\S) (?=\S)")
-BLANKS = re.compile(r"\s\s")
 STORED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("seq", T.LongType()),
                        T.StructField("ids", T.ArrayType(T.IntegerType()))])
 _memory: dict[str, dict[str, bytes]] = {}
@@ -77,13 +71,6 @@ class Encoder:
         return [found[p] for p in pieces]
 
 
-def cut(text: str) -> list[str]:
-    """The pieces; between them stood one space each."""
-    if BLANKS.search(text) or text[:1].isspace() or text[-1:].isspace():
-        return CUT.split(text)
-    return text.split(" ")
-
-
 def encode(texts: list[str], encoder: Encoder, memory: dict[str, bytes], end_id: int) -> list[bytes]:
     """Ids of each text with the end id, as little-endian 32-bit integers."""
     pieces = [cut(t) for t in texts]
