@@ -162,6 +162,12 @@ def rate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules=RULE
             .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5)))
 
 
+def keep_good(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
+    """The rows of ``docs`` that are kept, as they are; no join by id, so ids may repeat."""
+    whole_rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
+    return rate(whole_rows, "row", "text", rules).where("kept").select("doc_id.*")
+
+
 def op2_quality(spark, sf_dir):
     return rate(table(spark, sf_dir, "documents", "doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")

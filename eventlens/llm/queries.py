@@ -9,9 +9,10 @@ from __future__ import annotations
 from functools import wraps
 
 from eventlens.session import prepare
-from eventlens.llm import codec, merkle, mixing, near_dups, quality, secrets, token_counts, token_store, warc
+from eventlens.llm import (codec, merkle, mixing, near_dups, passages, quality, secrets,
+                           token_counts, token_store, warc)
 
-MODULES = (token_counts, quality, warc, near_dups, token_store, merkle, codec, secrets, mixing)
+MODULES = (token_counts, quality, warc, near_dups, token_store, merkle, codec, passages, secrets, mixing)
 
 
 def queries():

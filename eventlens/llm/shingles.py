@@ -21,8 +21,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(owner, hash) of every word in order; each distinct word is hashed once."""
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """(owner and number of every word in order, the distinct words by number, their hashes)."""
     lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
     owner = np.asarray(pc.list_parent_indices(lists))
     found = pc.list_flatten(lists)
@@ -32,13 +32,14 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     coded = found.dictionary_encode()
     table = np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) for w in coded.dictionary.to_pylist()),
                         np.uint64, len(coded.dictionary))
-    return owner.astype(np.int64), table[np.asarray(coded.indices)]
+    return owner.astype(np.int64), np.asarray(coded.indices), coded.dictionary, table
 
 
 def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(owner, hash) of every shingle, repeats included: runs of ``size`` words, or all the
     words of a text with fewer. A text without words has none."""
-    owner, word = word_hashes(texts)
+    owner, code, _, hashes = words_of(texts)
+    word = hashes[code]
     n = len(word)
     k = np.bincount(owner, minlength=len(texts))
     starts = np.cumsum(k) - k
