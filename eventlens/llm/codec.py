@@ -30,10 +30,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from eventlens.session import cut_lineage
 from eventlens.llm.common import table, whole
-from eventlens.llm.pieces import AT_A_TIME, PATTERN, REMEMBERED
+from eventlens.llm.pieces import AT_A_TIME, PATTERN, cut
 
-CHUNK = 16_384
-OVERLAP = 512
+CHUNK = 65_536
+OVERLAP = 1024
+#: Pieces and pre-tokens that a worker remembers.
+PIECES, WORDS = 250_000, 100_000
+#: Stitches and broken texts that may be broadcast; more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 class Codec:
@@ -48,20 +52,39 @@ class Codec:
         self.bytes = [b""] * (max(ranks.values()) + 1)
         for data, i in ranks.items():
             self.bytes[i] = data
-        self.memory: dict[str, bytes] = {}
+        self.memory: dict[str, bytes] = {}      # by pre-token
+        self.pieces: dict[str, bytes] = {}      # by piece, with the space before it
 
     def split(self, text: str) -> list[str]:
         return self.pattern.findall(text)
 
+    def _learn(self, memory: dict[str, bytes], words: list[list[str]], ids: Callable) -> dict[str, bytes]:
+        new = set().union(*words).difference(memory)
+        if len(memory) + len(new) > WORDS:
+            memory.clear()
+            new = set().union(*words)
+        memory.update((w, ids(w)) for w in new)
+        return memory
+
     def encode(self, words: list[list[str]]) -> list[bytes]:
         """Ids of each list of pre-tokens, as little-endian 32-bit integers."""
-        new = set().union(*words).difference(self.memory)
-        if len(self.memory) + len(new) > REMEMBERED:
-            self.memory.clear()
-            new = set().union(*words)
-        for word in new:
-            self.memory[word] = np.asarray(self.encoding._encode_single_piece(word), "<u4").tobytes()
-        return [b"".join(map(self.memory.__getitem__, w)) for w in words]
+        memory = self._learn(self.memory, words, lambda w: np.asarray(
+            self.encoding._encode_single_piece(w), "<u4").tobytes())
+        return [b"".join(map(memory.__getitem__, w)) for w in words]
+
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts; pieces between sure borders are split into pre-tokens once."""
+        cuts = [cut(t) for t in texts]
+        first = self.encode([self.split(c[0]) for c in cuts])
+        rest = [c[1:] for c in cuts]
+        new = list(set().union(*rest).difference(self.pieces))
+        ids = dict(zip(new, self.encode([self.split(f" {p}") for p in new])))
+        if len(self.pieces) + len(new) > PIECES:
+            known = {p: self.pieces[p] for p in set().union(*rest).difference(new)}
+            self.pieces.clear()
+            self.pieces.update(known)
+        self.pieces.update(ids)
+        return [f + b"".join(map(self.pieces.__getitem__, r)) for f, r in zip(first, rest)]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
@@ -86,7 +109,7 @@ def whole_texts(path: str) -> Callable:
         for batch in batches:
             for start in range(0, batch.num_rows, AT_A_TIME):
                 part = batch.slice(start, AT_A_TIME)
-                rows = coder.encode([coder.split(t) for t in part.column("text").to_pylist()])
+                rows = coder.encode_texts(part.column("text").to_pylist())
                 keys = [n for n in part.schema.names if n != "text"]
                 yield pa.RecordBatch.from_arrays([*map(part.column, keys), id_lists(rows)], [*keys, "ids"])
     return run
@@ -164,7 +187,9 @@ def encode_long(texts: DataFrame, ranks: str, chunk: int = CHUNK, overlap: int =
         found.select("key", "k", "left_marks"), ["key", "k"]).select(
         "key", "k", F.array_min(F.array_intersect("right_marks", "left_marks")).alias("at"))
     joints = cut_lineage(joints)
-    apart = joints.where("at IS NULL").select("key").distinct()
+    apart = cut_lineage(joints.where("at IS NULL").select("key").distinct())
+    if joints.count() <= BROADCAST_ROWS:        # the chunks then stay where they are
+        joints, apart = F.broadcast(joints), F.broadcast(apart)
     stitched = (parts.join(apart, "key", "left_anti")
                 .join(joints.select("key", "k", F.col("at").alias("left")), ["key", "k"], "left")
                 .join(joints.select("key", (F.col("k") - 1).alias("k"), F.col("at").alias("right")), ["key", "k"], "left"))
@@ -188,38 +213,43 @@ def encode(docs: DataFrame, ranks: str, doc_id: str = "doc_id", text: str = "tex
     return short.unionByName(long_rows.select("doc_id", "key").join(ids, "key").select("doc_id", "ids"))
 
 
+def decoded_parts(batches: Iterator[pa.RecordBatch], ranks: str):
+    """(part of a batch, ids of each row, bytes of each row)"""
+    coder = codec(ranks)
+    for batch in batches:
+        for start in range(0, batch.num_rows, AT_A_TIME):
+            part = batch.slice(start, AT_A_TIME)
+            lists = [np.asarray(x.values, "<i4") for x in part.column("ids")]
+            yield part, lists, [coder.decode(ids.tolist()) for ids in lists]
+
+
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes of its ``ids``."""
     names = [c for c in encoded.columns if c != "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(ranks)
-        for batch in batches:
-            for start in range(0, batch.num_rows, AT_A_TIME):
-                part = batch.slice(start, AT_A_TIME)
-                texts = [coder.decode(ids) for ids in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(texts, pa.binary())],
-                                                 [*names, "decoded"])
+        for part, _, texts in decoded_parts(batches, ranks):
+            yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(texts, pa.binary())], [*names, "decoded"])
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*names).schema)
     return encoded.select(*names).mapInArrow(run, f"{kinds}, decoded binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256)"""
+def digests(encoded: DataFrame, ranks: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of (doc_id, ids): decoded where they are,
+    only the hashes come back."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("ids")
-            values, at = np.ascontiguousarray(np.asarray(lists.values), "<i4"), np.asarray(lists.offsets)
-            hashes = [sha256(values[a:b].tobytes()).hexdigest() for a, b in zip(at[:-1], at[1:])]
+        for part, lists, texts in decoded_parts(batches, ranks):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(hashes), batch.column("decoded")],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded"])
-    rows = decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded binary")
-    return rows.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+                [part.column("doc_id"), pa.array([len(x) for x in lists], pa.int64()),
+                 pa.array([sha256(x.tobytes()).hexdigest() for x in lists]),
+                 pa.array([sha256(t).hexdigest() for t in texts])],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    return encoded.select("doc_id", "ids").mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op7_bpe(spark, sf_dir):
     import public_tokenizers
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return digests(decode(encode(docs, ranks), ranks))
+    return digests(encode(docs, ranks), ranks)
