@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
-from eventlens.session import scratch_path
+from eventlens.session import cut_lineage, scratch_path
 from eventlens.llm.common import table, whole
 
 
@@ -133,7 +133,8 @@ def findings(docs: DataFrame, ledger: str, doc_id: str = "doc_id", text: str = "
     where one blob has very many.
     """
     paths = docs.select(F.col(doc_id).alias("doc_id"), blob(text).alias("blob"))
-    hits = scan(docs, ledger, text, rules, version).where(F.size("spans") > 0)
+    # written first: a join straight on the deduplicated ledger could not be split
+    hits = cut_lineage(scan(docs, ledger, text, rules, version).where(F.size("spans") > 0))
     return paths.join(hits, "blob", "left").select(
         "doc_id", "blob", F.coalesce("spans", empty_spans()).alias("spans"))
 
@@ -141,8 +142,8 @@ def findings(docs: DataFrame, ledger: str, doc_id: str = "doc_id", text: str = "
 def redact(docs: DataFrame, ledger: str, text: str = "text", rules=RULES,
            version: str = VERSION, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span replaced by ``mark``; overlapping spans are replaced together."""
-    hits = scan(docs, ledger, text, rules, version).where(F.size("spans") > 0).select(
-        F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
+    hits = cut_lineage(scan(docs, ledger, text, rules, version).where(F.size("spans") > 0).select(
+        F.col("blob").alias("__blob"), F.col("spans").alias("__spans")))
     joined = docs.select(*docs.columns, blob(text).alias("__own")).join(
         hits, F.col("__own") == F.col("__blob"), "left")
     raw = F.col(text)
