@@ -125,7 +125,8 @@ def bigram_scores(docs: DataFrame, tokens: str = "tokens", min_count: int = MIN_
     size = (words.agg(F.count(F.lit(1))).scalar()
             + pairs.where(F.col("b") != "").agg(F.count(F.lit(1))).scalar())
     common = words.where(F.col("n") > min_count)
-    score = ((F.col("n_ab") - min_count) * size).cast("double") / (F.col("n_a") * F.col("n_b"))
+    real = lambda c: F.col(c).cast("double")  # noqa: E731  products of counts outgrow a long
+    score = (real("n_ab") - min_count) * size.cast("double") / (real("n_a") * real("n_b"))
     # no token is empty, so the join on b drops the document ends
     return (pairs.where(F.col("n_ab") > min_count)
             .join(common.select("a", F.col("n").alias("n_a")), "a")

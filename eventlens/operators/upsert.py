@@ -10,10 +10,11 @@ from eventlens.session import cut_lineage
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the last in ``order``, whole. Copies of a hot key are reduced in
-    each task before the shuffle."""
+    """One row per key: the last in ``order``, whole; the remaining columns close the order,
+    so ties have one outcome. Copies of a hot key are reduced in each task before the shuffle."""
     columns = df.columns
-    last = F.max_by(F.struct(*columns), F.struct(*order)).alias("_row")
+    rest = [c for c in columns if c not in order]
+    last = F.max_by(F.struct(*columns), F.struct(*order, *rest)).alias("_row")
     return df.groupBy(*key).agg(last).select("_row.*")
 
 

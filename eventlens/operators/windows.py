@@ -37,17 +37,16 @@ def last_in_store_point(width: str, tie_break: str | None = None,
     in-store row, NULL if there is none.
 
     The order within a window is one whole number, time since the window's start
-    and then ``tie_break`` (or a hash of the position) in the bits left over.
+    and then all 64 bits of ``tie_break`` (or of a hash of the position).
     Both columns follow the same order, so they come from the same row. With a
     number to order by, Spark aggregates in a hash table; an order by a struct
     would sort all transactions first, which took three times as long.
     """
     span = int(pd.Timedelta(width) / pd.Timedelta(microseconds=1))
-    room = 1 << (63 - span.bit_length())
     tie = F.col(tie_break) if tie_break else F.xxhash64("lat", "lon")
     since_start = F.pmod(F.unix_micros(time), F.lit(span))
     order = F.when(F.col("in_store_payment_amount") > 0,
-                   since_start * F.lit(room) + F.pmod(tie, F.lit(room)))
+                   since_start.cast("decimal(13,0)") * F.expr(f"{1 << 64}BD") + tie.cast("decimal(20,0)"))
     return (F.max_by("lat", order).alias("point_lat"),
             F.max_by("lon", order).alias("point_lon"))
 

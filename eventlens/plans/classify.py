@@ -12,7 +12,6 @@ from eventlens.operators.corpus import lemmas
 from eventlens.operators.joins import fits
 from eventlens.schemas import MESSAGE_TOPICS, conform
 
-MAX_TOPICS = 100            # ids are VARCHAR(2) numbers
 MAX_WEIGHTS = 10_000        # (topic, word) rows that may be broadcast
 
 
@@ -49,8 +48,7 @@ def keyword_scores(messages: DataFrame, weights: DataFrame, *carry: str) -> Data
     word ties at zero and gets the lowest id. ``carry`` columns depend on
     message_id and ride along instead of being joined back.
 
-    ``weights`` has at most a hundred topics and is checked before it is
-    broadcast, so tokens are scored where the message was read; only one row per
+    ``weights`` is checked before it is broadcast, so tokens are scored where the message was read; only one row per
     message and matching topic is shuffled.
     """
     if not fits(weights, MAX_WEIGHTS):
@@ -63,15 +61,14 @@ def keyword_scores(messages: DataFrame, weights: DataFrame, *carry: str) -> Data
     spelled = messages.select(*key, F.explode(some).alias("_word"))
     per_topic = (spelled.join(numbered, "_word", "left")
                  .groupBy(*key, "_t").agg(F.sum("thousandths").alias("_s")))
-    # score and id in one number: its maximum is the highest score, then the lowest id
-    ranked = F.col("_s") * MAX_TOPICS + (MAX_TOPICS - 1 - F.col("_t"))
+    # score and id in one number with room for any id: the highest score, then the lowest id
+    ranked = F.col("_s").cast("decimal(20,0)") * F.expr(f"{1 << 32}BD") - F.col("_t")
     lowest = weights.agg(F.min(F.col("topic_id").cast("int"))).scalar()
-    best = F.coalesce((MAX_TOPICS - 1 - F.pmod("_best", F.lit(MAX_TOPICS))).cast("int"), lowest)
     return (per_topic.groupBy(*key)
-            .agg(F.max(ranked).alias("_best"),
+            .agg(F.max_by("_t", ranked).alias("_best"), F.max("_s").alias("_top"),
                  F.coalesce(F.sum("_s"), F.lit(0)).alias("total"))
-            .select(*key, best.cast("string").alias("topic_id"),
-                    F.coalesce(F.floor(F.col("_best") / MAX_TOPICS), F.lit(0)).alias("score"),
+            .select(*key, F.coalesce("_best", F.lit(lowest)).cast("string").alias("topic_id"),
+                    F.coalesce("_top", F.lit(0)).alias("score"),
                     "total"))
 
 
