@@ -128,12 +128,12 @@ CLASSIFIED = SCORED + """,
 classified as materialized (
   select message_id, message_date, message_from_name, topic_id as topic,
          dim.topic as topic_description
-  from scored join dim on topic_id = id where id <> '19')"""
+  from scored join dim on topic_id = id)"""
 
 
 def classified(spark, sf):
     return classify.classified_messages(standin.spread_messages(spark, sf), weights(spark, sf),
-                                        known_topics(spark, sf))
+                                        dim_topics(spark, sf))
 
 
 @query(f"""with {CLASSIFIED} select message_id, {TIME_TEXT.format('message_date')} as message_date,
@@ -143,18 +143,13 @@ def classified_messages(spark, sf):
     return classified(spark, sf)
 
 
-@query(f"with {CLASSIFIED} select message_id, topic from classified")
+@query(f"""with {CLASSIFIED} select message_id, {TIME_TEXT.format('message_date')} as message_date,
+                  message_from_name, topic, topic_description from classified""")
 def class_topic_sql(spark, sf):
-    """The classifier as a named SQL function, in the job's own SQL shape."""
+    """The job with the classifier as a named SQL function."""
     classify.register_class_topic(spark, weights(spark, sf))
-    standin.spread_messages(spark, sf).createOrReplaceTempView("messages")
-    known_topics(spark, sf).createOrReplaceTempView("dim_topics")
-    return spark.sql("""
-        with topics as (
-          select message_id, CLASS_TOPIC(message_subject) as topic_id
-          from messages where message_subject is not null)
-        select t.message_id, t.topic_id as topic
-        from topics t join dim_topics dim on t.topic_id = dim.id""")
+    return classify.classified_by_function(standin.spread_messages(spark, sf),
+                                           dim_topics(spark, sf), "CLASS_TOPIC")
 
 
 SERIES_WEEK = TIME_TEXT.format("date_trunc('week', message_date)") + " as week"
@@ -243,10 +238,10 @@ both_ as (select a, b, count(*) as n from held ha
           group by 1, 2),
 npmi as (
   select x.topic_id as topic, x.word, y.word as other, coalesce(both_.n, 0) as n_both,
-         ln((coalesce(both_.n, 0) / t + 1e-12) / ((oa.n / t) * (ob.n / t)))
-           / -ln(coalesce(both_.n, 0) / t + 1e-12) as v
+         coalesce(ln((coalesce(both_.n, 0) / t + 1e-12) / ((oa.n / t) * (ob.n / t)))
+           / -ln(coalesce(both_.n, 0) / t + 1e-12), 0) as v
   from weight x join weight y using (topic_id)
-  join one oa on oa.token = x.word join one ob on ob.token = y.word
+  left join one oa on oa.token = x.word left join one ob on ob.token = y.word
   left join both_ on both_.a = x.word and both_.b = y.word
   cross join total)"""
 

@@ -8,14 +8,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventlens.operators.joins import fits
 from eventlens.session import cut_lineage
 
 # Window size and smoothing of the measure.
 WINDOW = 110
 EPSILON = 1e-12
 
-MAX_WORDS = 2_000       # distinct topic words; their pair counts are held by every task
 BLOCK = 4_096           # windows looked at together
 
 
@@ -26,25 +24,27 @@ def window_counts(docs: DataFrame, topic_words: DataFrame, tokens: str = "tokens
     a = b counts the windows that hold the word; the row with NULL words counts
     all windows. A document of fewer tokens than ``window`` is one window.
 
-    Each task slides over its own documents and emits one partial count per word
-    pair, so the shuffle is bounded by the topics' words, not by the text. Only
-    the topic words' positions leave the JVM. The counts are written once, since
-    Spark would run the Python part again for each of their uses.
+    Each task slides over its own documents and emits one partial count per pair of
+    words of a common topic, so task memory and the shuffle are bounded by the
+    listed words of each topic squared, not by the text. Only the topic words'
+    positions leave the JVM. The counts are written once, since Spark would run
+    the Python part again for each of their uses.
     """
-    if not fits(topic_words, MAX_WORDS):
-        raise ValueError(f"more than {MAX_WORDS} topic words")
     by_topic: dict = {}
     for row in topic_words.select("topic", "word").collect():
         by_topic.setdefault(row.topic, set()).add(row.word)
     words = sorted(set().union(*by_topic.values()))
     number = {w: i for i, w in enumerate(words)}
-    together = np.zeros((len(words), len(words)), dtype=bool)
+    # words of a common topic as one sorted number per pair, the smaller word first
+    codes = [np.zeros(0, dtype=np.int64)]
     for members in by_topic.values():
-        ids = [number[w] for w in members]
-        together[np.ix_(ids, ids)] = True
+        ids = np.array(sorted(number[w] for w in members), dtype=np.int64)
+        first, second = np.triu_indices(len(ids))
+        codes.append(ids[first] * len(words) + ids[second])
+    pairs = np.unique(np.concatenate(codes))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        both = np.zeros(together.shape, dtype=np.int64)
+        both = np.zeros(len(pairs), dtype=np.int64)
         windows = 0
         for batch in batches:
             for length, at, found in zip(batch["length"], batch["at"], batch["found"]):
@@ -54,6 +54,11 @@ def window_counts(docs: DataFrame, topic_words: DataFrame, tokens: str = "tokens
                     continue
                 at = np.asarray(at)
                 present, column = np.unique([number[w] for w in found], return_inverse=True)
+                first, second = np.triu_indices(len(present))
+                code = present[first] * len(words) + present[second]
+                place = np.searchsorted(pairs, code)
+                known = pairs[np.minimum(place, len(pairs) - 1)] == code
+                first, second, place = first[known], second[known], place[known]
                 for start in range(0, last + 1, BLOCK):
                     stop = min(start + BLOCK, last + 1)
                     # tokens seen by any window that starts in [start, stop)
@@ -66,11 +71,12 @@ def window_counts(docs: DataFrame, topic_words: DataFrame, tokens: str = "tokens
                     np.add.at(edges, (enter, column[some]), 1)
                     np.add.at(edges, (leave, column[some]), -1)
                     held = (np.cumsum(edges, axis=0)[:-1] > 0).astype(np.float64)
-                    both[np.ix_(present, present)] += (held.T @ held).astype(np.int64)
-        a, b = np.nonzero(np.triu(np.where(together, both, 0)))
+                    both[place] += (held.T @ held).astype(np.int64)[first, second]
+        seen = np.flatnonzero(both)
+        a, b = np.divmod(pairs[seen], len(words))
         yield pd.DataFrame({"a": [None, *(words[i] for i in a)],
                             "b": [None, *(words[i] for i in b)],
-                            "n": [windows, *both[a, b]]})
+                            "n": [windows, *both[seen]]})
 
     placed = F.filter(F.transform(F.col(tokens), lambda t, i: F.struct(
         t.alias("word"), i.alias("at"))), lambda p: p["word"].isin(*words))
@@ -88,6 +94,7 @@ def npmi(pair: Column, a: Column, b: Column) -> Column:
 def npmi_pairs(topic_words: DataFrame, counts: DataFrame) -> DataFrame:
     """(topic, word, other, n_both, npmi) for every ordered pair of a topic's words.
 
+    A word that no window holds has an NPMI of 0 with every word.
     Both inputs are as small as the topics: words per topic squared, times topics.
     """
     total = counts.where(F.col("a").isNull()).select("n").scalar()
@@ -100,12 +107,13 @@ def npmi_pairs(topic_words: DataFrame, counts: DataFrame) -> DataFrame:
              .withColumn("a", F.least("word", "other"))
              .withColumn("b", F.greatest("word", "other"))
              .join(seen, ["a", "b"], "left")
-             .join(single.select(F.col("w").alias("word"), F.col("n_w").alias("n_word")), "word")
+             .join(single.select(F.col("w").alias("word"), F.col("n_w").alias("n_word")), "word", "left")
              .join(single.select(F.col("w").alias("other"), F.col("n_w").alias("n_other")),
-                   "other")
+                   "other", "left")
              .withColumn("n_both", F.coalesce("n", F.lit(0).cast("long"))))
     p = [F.col(c) / total for c in ("n_both", "n_word", "n_other")]
-    return pairs.select("topic", "word", "other", "n_both", npmi(*p).alias("npmi"))
+    return pairs.select("topic", "word", "other", "n_both",
+                        F.coalesce(npmi(*p), F.lit(0.0)).alias("npmi"))
 
 
 def coherence_by_topic(pairs: DataFrame) -> DataFrame:
@@ -113,7 +121,8 @@ def coherence_by_topic(pairs: DataFrame) -> DataFrame:
     whole = pairs.groupBy("topic", "other").agg(F.sum("npmi").alias("topic_npmi"))
     v, t = F.col("npmi"), F.col("topic_npmi")
     cosine = (pairs.join(whole, ["topic", "other"]).groupBy("topic", "word")
-              .agg((F.sum(v * t) / (F.sqrt(F.sum(v * v)) * F.sqrt(F.sum(t * t)))).alias("c")))
+              .agg(F.coalesce(F.try_divide(F.sum(v * t), F.sqrt(F.sum(v * v)) * F.sqrt(F.sum(t * t))),
+                              F.lit(0.0)).alias("c")))
     return cosine.groupBy("topic").agg(F.avg("c").alias("c_v"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -9,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlens.functions import text
 from eventlens.operators.corpus import lemmas
-from eventlens.operators.joins import fits
+from eventlens.operators.joins import fits, lookup_join
 from eventlens.schemas import MESSAGE_TOPICS, conform
+from eventlens.session import cut_lineage
 
 MAX_WEIGHTS = 10_000        # (topic, word) rows that may be broadcast
+IN_ROW = 1_000              # (topic, word) rows that become constants of an expression
 
 
 def with_tokens(messages: DataFrame, deaccent: bool = True, stop: bool = True) -> DataFrame:
@@ -39,37 +42,68 @@ def topic_weights(dim_topics: DataFrame) -> DataFrame:
         "topic_id", "word", "thousandths")
 
 
-def keyword_scores(messages: DataFrame, weights: DataFrame, *carry: str) -> DataFrame:
+def keyword_scores(messages: DataFrame, weights: DataFrame, *carry: str,
+                   in_row: int = IN_ROW) -> DataFrame:
     """One row per message: ``topic_id``, ``score`` and ``total`` in thousandths.
 
     A topic's score is the sum of its words' weights over the message's tokens,
     in whole thousandths, so that no order of addition can change it. The
     highest score wins, on a tie the lower id; a message without any weighted
-    word ties at zero and gets the lowest id. ``carry`` columns depend on
-    message_id and ride along instead of being joined back.
+    word ties at zero and gets the lowest id. ``carry`` columns ride along.
+    Rows that share a message_id keep their own scores.
 
-    ``weights`` is checked before it is broadcast, so tokens are scored where the message was read; only one row per
-    message and matching topic is shuffled.
+    Up to ``in_row`` weights become constants of the expression and every message is
+    scored in its own row, without a shuffle. More are joined to the distinct
+    token lists; the rows are the same.
     """
-    if not fits(weights, MAX_WEIGHTS):
-        raise ValueError(f"more than {MAX_WEIGHTS} topic words")
-    key = ["message_id", *carry]
-    numbered = F.broadcast(weights.select(F.col("topic_id").cast("int").alias("_t"),
-                                          F.col("word").alias("_word"), "thousandths"))
-    # a NULL token per message keeps the ones without tokens
-    some = F.concat(F.array(F.lit(None).cast("string")), F.col("tokens"))
-    spelled = messages.select(*key, F.explode(some).alias("_word"))
-    per_topic = (spelled.join(numbered, "_word", "left")
-                 .groupBy(*key, "_t").agg(F.sum("thousandths").alias("_s")))
+    scored = (scores_in_row(messages, weights) if fits(weights, in_row)
+              else scores_by_join(messages, weights))
+    return scored.select("message_id", *carry, F.col("_topic").cast("string").alias("topic_id"),
+                         "score", "total")
+
+
+def scores_in_row(messages: DataFrame, weights: DataFrame) -> DataFrame:
+    """``messages`` with ``_topic``, ``score`` and ``total``, by array functions over the tokens."""
+    by_word: dict[str, list[dict]] = {}
+    ids = []
+    for row in weights.collect():
+        ids.append(int(row.topic_id))
+        by_word.setdefault(row.word, []).append({"t": ids[-1], "w": row.thousandths})
+    constants = F.from_json(F.lit(json.dumps(by_word)), "map<string,array<struct<t:int,w:bigint>>>")
+    weighted = F.filter("tokens", lambda t: t.isin(*by_word))
+    hits = messages.withColumn("_hits", F.flatten(F.transform(
+        weighted, lambda t: F.element_at(constants, t))))
+
+    def added(part):
+        return F.aggregate(part, F.lit(0).cast("long"), lambda s, h: s + h["w"])
+    sums = F.transform(F.array_distinct(F.col("_hits.t")), lambda t: F.struct(
+        added(F.filter("_hits", lambda h: h["t"] == t)).alias("s"), (-t).alias("lower")))
+    best = hits.withColumn("_best", F.array_max(sums))
+    return best.select(
+        *messages.columns, F.coalesce(-F.col("_best.lower"), F.lit(min(ids, default=None))).alias("_topic"),
+        F.coalesce("_best.s", F.lit(0)).alias("score"), added("_hits").alias("total"))
+
+
+def scores_by_join(messages: DataFrame, weights: DataFrame) -> DataFrame:
+    """The same for any number of weights: distinct token lists are taken apart, joined to the
+    words by size-checked lookup, added up, and joined back by the list's hash."""
+    own = messages.withColumn("_list", F.sha2(F.array_join("tokens", " "), 256))
+    spelled = cut_lineage(own.select("_list", "tokens").dropDuplicates(["_list"])
+                          .select("_list", F.explode("tokens").alias("_word"))
+                          .groupBy("_list", "_word").agg(F.count(F.lit(1)).alias("_n")))
+    by_word = cut_lineage(weights.groupBy(F.col("word").alias("_word")).agg(F.collect_list(
+        F.struct(F.col("topic_id").cast("int").alias("t"), F.col("thousandths").alias("w"))).alias("_topics")))
+    per_topic = (lookup_join(spelled, by_word, ["_word"], ["_list"])
+                 .select("_list", "_n", F.inline("_topics").alias("_t", "_w"))
+                 .groupBy("_list", "_t").agg(F.sum(F.col("_n") * F.col("_w")).alias("_s")))
     # score and id in one number with room for any id: the highest score, then the lowest id
     ranked = F.col("_s").cast("decimal(20,0)") * F.expr(f"{1 << 32}BD") - F.col("_t")
-    lowest = weights.agg(F.min(F.col("topic_id").cast("int"))).scalar()
-    return (per_topic.groupBy(*key)
-            .agg(F.max_by("_t", ranked).alias("_best"), F.max("_s").alias("_top"),
-                 F.coalesce(F.sum("_s"), F.lit(0)).alias("total"))
-            .select(*key, F.coalesce("_best", F.lit(lowest)).cast("string").alias("topic_id"),
-                    F.coalesce("_top", F.lit(0)).alias("score"),
-                    "total"))
+    best = per_topic.groupBy("_list").agg(F.max_by("_t", ranked).alias("_best"),
+                                          F.max("_s").alias("_top"), F.sum("_s").alias("_total"))
+    lowest = weights.agg(F.min(F.col("topic_id").cast("int"))).first()[0]
+    return own.join(best, "_list", "left").select(
+        *messages.columns, F.coalesce("_best", F.lit(lowest)).alias("_topic"),
+        F.coalesce("_top", F.lit(0)).alias("score"), F.coalesce("_total", F.lit(0)).alias("total"))
 
 
 def topic_lookup(topics: DataFrame, dim_topics: DataFrame) -> DataFrame:
@@ -96,6 +130,13 @@ def classified_messages(messages: DataFrame, weights: DataFrame,
     return to_message_topics(topic_lookup(topics, dim_topics))
 
 
+def classified_by_function(messages: DataFrame, dim_topics: DataFrame, function: str) -> DataFrame:
+    """The same rows by a registered function from text to topic id."""
+    topics = (messages.where(F.col("message_subject").isNotNull())
+              .withColumn("topic_id", F.call_function(function, F.col("message_subject"))))
+    return to_message_topics(topic_lookup(topics, dim_topics))
+
+
 def with_processing_time(messages: DataFrame) -> DataFrame:
     return messages.withColumn("proc_time", F.current_timestamp())
 
@@ -121,10 +162,11 @@ def topic_udf(load: Callable[[], Predict]):
     return F.pandas_udf(predict_batches, "string").asNondeterministic()
 
 
-def keyword_model(weights: DataFrame) -> Callable[[], Predict]:
-    """A loader for :func:`topic_udf` that scores by the weights (their size is checked)."""
-    if not fits(weights, MAX_WEIGHTS):
-        raise ValueError(f"more than {MAX_WEIGHTS} topic words")
+def keyword_model(weights: DataFrame, max_weights: int = MAX_WEIGHTS) -> Callable[[], Predict]:
+    """A loader for :func:`topic_udf` that scores by the weights. Every task holds them, so
+    their number is checked; :func:`keyword_scores` takes any number."""
+    if not fits(weights, max_weights):
+        raise ValueError(f"more than {max_weights} topic words: use keyword_scores, or raise max_weights")
     by_word: dict[str, list[tuple[int, int]]] = {}
     ids = []
     for row in weights.collect():
