@@ -9,11 +9,11 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlens.operators.corpus import vocabulary
 from eventlens.operators.ranking import first_argmax
-from eventlens.session import cut_lineage, cut_lineage_in_place
+from eventlens.session import cut_lineage_in_place
 
 
 @dataclass(frozen=True)
@@ -21,43 +21,41 @@ class Training:
     """Settings of the training job.
 
     Fixed values: 22 topics, seed 100, 10 passes, an update every 1000
-    documents, learned document prior, a dictionary of at most two million
-    tokens, shares below 0.01 not listed.
-
-    An update per 1000 documents means ten million scans per billion documents,
-    so from ``max_updates`` updates a pass on, the documents of one update grow
-    instead. Every pass still uses all documents.
+    documents, learned document prior, shares below 0.01 not listed.
+
+    The schedule is the same at every size: ``passes`` times as many updates as
+    there are chunks of ``chunk`` documents. Each update draws that share of the
+    documents at random, so a pass uses a document once on average, some twice,
+    some not at all. Every update scans the bags, so for a large corpus the
+    caller sets a larger ``chunk``, or ``optimizer="em"``, which uses all
+    documents in each of ``passes`` iterations.
+
+    The dictionary holds all words that occur in at least ``min_doc_freq``
+    documents. The model is topics x words on the driver (online), so for a large
+    corpus the caller raises that number; nothing is left out by size alone.
     """
     topics: int = 22
     seed: int = 100
     passes: int = 10
     chunk: int = 1000
-    max_updates: int = 100
-    vocabulary: int = 2_000_000
+    optimizer: str = "online"
+    min_doc_freq: int = 1
+    docs_per_partition: int = 50_000
     min_share: float = 0.01
 
     def schedule(self, documents: int) -> tuple[int, float]:
         """(updates, share of the documents in each)."""
-        per_pass = min(max(math.ceil(documents / self.chunk), 1), self.max_updates)
+        per_pass = max(math.ceil(documents / self.chunk), 1)
         return per_pass * self.passes, 1.0 / per_pass
 
+    def partitions(self, documents: int) -> int:
+        """By the number of documents, not of cores, so that a seed draws the same anywhere."""
+        return max(math.ceil(documents / self.docs_per_partition), 8)
 
-def dictionary(docs: DataFrame, size: int, tokens: str = "tokens") -> list[str]:
-    """The model's words, most frequent first, then by name: the same for the same corpus.
 
-    If there are more than ``size``, the rarest frequencies that no longer fit
-    are left out, as the training job's dictionary does. At most ``size`` words
-    come to the driver, which holds the model anyway.
-    """
-    words = cut_lineage(vocabulary(docs, tokens))
-    if words.count() > size:
-        so_far = F.sum("n").over(Window.orderBy(F.desc("term_freq")))
-        by_frequency = words.groupBy("term_freq").agg(F.count(F.lit(1)).alias("n"))
-        rarest = (by_frequency.withColumn("so_far", so_far).where(F.col("so_far") <= size)
-                  .agg(F.min("term_freq")).first()[0])
-        if rarest is None:
-            raise ValueError(f"more than {size} words share the highest frequency")
-        words = words.where(F.col("term_freq") >= rarest)
+def dictionary(docs: DataFrame, min_doc_freq: int = 1, tokens: str = "tokens") -> list[str]:
+    """The model's words, most frequent first, then by name: the same for the same corpus."""
+    words = vocabulary(docs, tokens).where(F.col("doc_freq") >= min_doc_freq)
     ordered = words.orderBy(F.desc("term_freq"), F.asc("token")).select("token")
     return [r.token for r in ordered.collect()]
 
@@ -69,19 +67,23 @@ def train(docs: DataFrame, key: str, settings: Training = Training(),
     The bags of words are written once to the shared folder: the updates scan
     them again and again, and must not tokenise again or lose them with an
     executor. They are laid out by key, so that a seed draws the same documents
-    in every run, in one partition per core: every partition adds a matrix of
-    topics x words to each update.
+    in every run; every partition adds a matrix of topics x words to each update.
     """
     bagger = CountVectorizerModel.from_vocabulary(
-        dictionary(docs, settings.vocabulary, tokens), inputCol=tokens, outputCol="bag")
-    cores = docs.sparkSession.sparkContext.defaultParallelism
+        dictionary(docs, settings.min_doc_freq, tokens), inputCol=tokens, outputCol="bag")
+    documents = docs.count()
     bags = cut_lineage_in_place(bagger.transform(docs).select(key, "bag")
-                                .repartition(cores, key).sortWithinPartitions(key))
-    updates, portion = settings.schedule(bags.count())
-    lda = LDA(k=settings.topics, seed=settings.seed, optimizer="online", featuresCol="bag",
-              maxIter=updates, subsamplingRate=portion, optimizeDocConcentration=True,
-              learningOffset=1.0, learningDecay=0.5)
-    return PipelineModel([bagger, lda.fit(bags)])
+                                .repartition(settings.partitions(documents), key)
+                                .sortWithinPartitions(key))
+    lda = LDA(k=settings.topics, seed=settings.seed, optimizer=settings.optimizer, featuresCol="bag")
+    if settings.optimizer == "online":
+        updates, portion = settings.schedule(documents)
+        lda = lda.copy({lda.maxIter: updates, lda.subsamplingRate: portion, lda.learningOffset: 1.0,
+                        lda.learningDecay: 0.5, lda.optimizeDocConcentration: True})
+    else:
+        lda = lda.copy({lda.maxIter: settings.passes})
+    model = lda.fit(bags)
+    return PipelineModel([bagger, model.toLocal().setFeaturesCol("bag") if model.isDistributed() else model])
 
 
 def save(model: PipelineModel, path: str) -> None:
@@ -114,9 +116,15 @@ def topic_listing(described: DataFrame) -> DataFrame:
 
 
 def distributions(docs: DataFrame, model: PipelineModel) -> DataFrame:
-    """Documents with ``shares``: the probability of each topic, in topic order."""
+    """Documents with ``shares``: the probability of each topic, in topic order.
+
+    A document without known tokens, to which Spark gives zeros, has the learned prior.
+    """
+    prior = _lda(model).estimatedDocConcentration().toArray()
+    learned = F.array(*[F.lit(float(p)) for p in prior / prior.sum()])
+    shares = vector_to_array("topicDistribution")
     return (model.transform(docs)
-            .withColumn("shares", vector_to_array("topicDistribution"))
+            .withColumn("shares", F.when(F.array_max(shares) > 0, shares).otherwise(learned))
             .drop("bag", "topicDistribution"))
 
 
@@ -129,11 +137,7 @@ def document_topics(docs: DataFrame, model: PipelineModel, key: str,
 
 
 def classify(docs: DataFrame, model: PipelineModel, *keep: str) -> DataFrame:
-    """(keep…, topic_id, share): the most probable topic, the lower id on a tie.
-
-    A document without known tokens gets the zero vector from Spark; like any
-    other tie it goes to topic 0.
-    """
+    """(keep…, topic_id, share): the most probable topic, the lower id on a tie."""
     known = distributions(docs, model)
     best = first_argmax(F.col("shares"))
     return known.select(*keep, best.cast("string").alias("topic_id"),

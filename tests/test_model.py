@@ -30,7 +30,8 @@ def test_one_topic_per_document(docs, model):
     got = answers(docs, model)
     assert set(got) == {d for d, _ in DOCS}
     assert all(0 <= int(t) < 3 for t, _ in got.values())
-    assert got["none"][0] == "0"
+    prior = list(model.stages[-1].estimatedDocConcentration())
+    assert got["none"] == (str(prior.index(max(prior))), round(max(prior) / sum(prior), 6))
     sums = topic_model.distributions(docs.where("size(tokens) > 0"), model).selectExpr(
         "aggregate(shares, 0d, (a, x) -> a + x) s").collect()
     assert all(r.s == pytest.approx(1) for r in sums)
@@ -52,19 +53,25 @@ def test_same_seed_same_model(docs, model):
     assert answers(docs, topic_model.train(docs, "id", SETTINGS)) == answers(docs, model)
 
 
-def test_dictionary_is_ordered_and_bounded_by_whole_frequencies(spark):
-    df = spark.createDataFrame([(list("aaabbccd"),), (list("e"),)], "tokens array<string>")
-    assert topic_model.dictionary(df, 10) == list("abcde")
-    assert topic_model.dictionary(df, 4) == list("abc")
-    assert topic_model.dictionary(df, 2) == ["a"]
+def test_dictionary_is_ordered_and_whole(spark):
+    df = spark.createDataFrame([(list("aaabbccd"),), (list("eb"),)], "tokens array<string>")
+    assert topic_model.dictionary(df) == list("abcde")
+    assert topic_model.dictionary(df, min_doc_freq=2) == ["b"]
 
 
-def test_schedule_uses_all_documents_and_bounds_updates():
+def test_schedule_is_one_at_every_size():
     t = topic_model.Training()
     assert t.schedule(441) == (10, 1.0)
-    assert t.schedule(10_000) == (100, 0.1)
-    updates, portion = t.schedule(10**10)
-    assert updates == 1000 and updates * portion == pytest.approx(t.passes)
+    for documents in (10_000, 10**10):
+        updates, portion = t.schedule(documents)
+        assert updates == documents // 1000 * t.passes and portion * documents == pytest.approx(1000)
+    assert t.partitions(10) == 8 and t.partitions(10**9) == 20_000
+
+
+def test_all_documents_in_each_iteration(docs):
+    whole = topic_model.Training(topics=3, passes=15, optimizer="em")
+    got = answers(docs, topic_model.train(docs, "id", whole))
+    assert set(got) == {d for d, _ in DOCS} and all(0 <= int(t) < 3 for t, _ in got.values())
 
 
 def test_report_and_listing(spark, docs, model):
