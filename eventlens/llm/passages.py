@@ -4,8 +4,9 @@ Paragraphs (lines of at least 40 words) are compared by the MinHash bands, exact
 check and components of ``near_dups``, with bands tuned for recall: 8 bands of 3 places find
 a pair at 0.8 with a probability of 0.997, and equal paragraphs always. A passage inside a
 paragraph has other neighbours in each document, so no paragraph shows it; windows of 32
-words from each beginning of a sentence do: a passage of over 50 words holds such a window
-whole wherever a sentence begins in its first words, and equal windows are one class.
+words do, and equal windows are one class. Taken are the window with the least hash of every
+20 consecutive ones (winnowing), so that equal runs of 51 words share a window wherever they
+begin, and also those from each beginning of a sentence, which show some shorter runs.
 
 A class counts as repeated if it occurs in at least two documents, told apart by id and
 text. Its first occurrence, by document id and place, stays; the others are removals.
@@ -34,14 +35,42 @@ from eventlens.llm.shingles import SHINGLE, mix, words_of
 
 LEAST_WORDS = 40
 WINDOW = 32
+#: Of so many consecutive windows one is taken: equal runs of WINDOW + EVERY - 1 words share one.
+EVERY = 20
 ROWS, BANDS = 3, 8
 #: Odd multiplier of the rolling hash, and its inverse modulo 2 ** 64.
 TURN = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def windows_of(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(owner, place, hash) of the windows of ``size`` words that begin with a sentence."""
+def least_of(keys: np.ndarray, owner: np.ndarray, every: int) -> np.ndarray:
+    """Places of the least of every ``every`` consecutive keys of an owner, or of all its keys
+    if it has fewer. Of equal keys the last is taken, and stays while it is in reach."""
+    n = len(keys)
+    if not n:
+        return np.zeros(0, np.int64)
+    ends = np.searchsorted(owner, owner, "right")
+    first, last = np.arange(n), np.arange(n)     # of the least keys of the next ``width``
+    width = 1
+    while width < every:
+        step = min(width, every - width)
+        at = np.flatnonzero(np.arange(n) + step < ends)
+        a, b = first[at], first[at + step]
+        c, d = last[at], last[at + step]
+        first[at] = np.where(keys[b] < keys[a], b, a)
+        last[at] = np.where(keys[d] <= keys[c], d, c)
+        width += step
+    starts = np.searchsorted(owner, owner)
+    full = np.arange(n) <= np.maximum(starts, ends - every)
+    for i in np.flatnonzero(full & (first != last)).tolist():
+        if i > starts[i] and last[i - 1] >= i and keys[last[i - 1]] == keys[last[i]]:
+            last[i] = last[i - 1]
+    return np.unique(last[full])
+
+
+def windows_of(texts: pa.Array, size: int, every: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, place, hash) of the windows of ``size`` words that begin with a sentence, and of
+    the least of every ``every`` consecutive ones."""
     owner, code, dictionary, hashes = words_of(texts)
     ends = np.asarray(pc.match_substring_regex(dictionary, r"[.!?][\"')\]]*$"))
     n = len(owner)
@@ -53,18 +82,23 @@ def windows_of(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.n
     sums = np.concatenate(([np.uint64(0)], np.cumsum(word * powers[:-1])))
     begins = np.ones(n, bool)
     begins[1:] = ends[code[:-1]] | (owner[1:] != owner[:-1])
-    at = np.flatnonzero(begins[:n - size + 1] & (owner[:n - size + 1] == owner[size - 1:]))
+    inside = owner[:n - size + 1] == owner[size - 1:]
+    taken = begins[:n - size + 1] & inside
+    if every:
+        at = np.flatnonzero(inside)
+        taken[at[least_of(mix((sums[at + size] - sums[at]) * backs[at]), owner[at], every)]] = True
+    at = np.flatnonzero(taken)
     first = np.searchsorted(owner, owner[at])
     return owner[at], at - first, mix((sums[at + size] - sums[at]) * backs[at])
 
 
-def windows(size: int) -> Callable:
+def windows(size: int, every: int) -> Callable:
     """For mapInArrow: (doc, text) to (key, doc, place)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, AT_A_TIME):
                 part = batch.slice(start, AT_A_TIME)
-                owner, place, key = windows_of(part.column("text"), size)
+                owner, place, key = windows_of(part.column("text"), size, every)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), part.column("doc").take(pa.array(owner)), pa.array(place, pa.int64())],
                     ["key", "doc", "place"])
@@ -93,10 +127,10 @@ def repeated_paragraphs(docs: DataFrame, least: int, size: int, similarity: floa
                                           F.col("first.doc").alias("first_doc"), F.col("first.place").alias("first_place"))
 
 
-def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int, every: int) -> DataFrame:
     """The same for windows. Keys of all windows are shuffled once, with the least and the
     greatest document that a task saw; only rows of keys in two documents are made again."""
-    rows = docs.mapInArrow(windows(window), "key long, doc struct<id:bigint,text:bigint>, place long")
+    rows = docs.mapInArrow(windows(window, every), "key long, doc struct<id:bigint,text:bigint>, place long")
     again = small(rows.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"),
                                           F.min(F.struct("doc", "place")).alias("first"))
                   .where("lo <> hi").select("key", "first"))
@@ -106,13 +140,14 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, window: int = WINDOW,
-            size: int = SHINGLE, similarity: float = SIMILARITY, rows: int = ROWS, n_bands: int = BANDS) -> DataFrame:
+            size: int = SHINGLE, similarity: float = SIMILARITY, rows: int = ROWS, n_bands: int = BANDS,
+            every: int = EVERY) -> DataFrame:
     """(doc_id, kind, place, n_words, class_id, first_doc_id, removed): a row for each repeated
     paragraph (place: its line) and window (place: its first word), the first ones included."""
     source = docs.select(F.struct(F.col(doc_id).cast("long").alias("id"), F.xxhash64(whole(text)).alias("text")).alias("doc"),
                          whole(text).alias("text"))
     found = [repeated_paragraphs(source, least, size, similarity, rows, n_bands).withColumn("kind", F.lit("paragraph")),
-             repeated_windows(source, window).withColumn("kind", F.lit("passage"))]
+             repeated_windows(source, window, every).withColumn("kind", F.lit("passage"))]
     first = F.col("doc").eqNullSafe(F.col("first_doc")) & (F.col("place") == F.col("first_place"))
     return found[0].unionByName(found[1]).select(
         F.col("doc.id").alias("doc_id"), "kind", "place", "n_words", "class_id", F.col("first_doc.id").alias("first_doc_id"),

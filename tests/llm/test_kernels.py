@@ -74,6 +74,30 @@ def test_equal_windows_have_equal_keys():
     assert place[owner == 0].tolist() == [0, 2]
 
 
+def test_equal_runs_share_a_window_wherever_they_begin():
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        run = [f"r{i}" for i in rng.integers(0, 1000, 51)]
+        texts = [" ".join([f"{side}{i}" for i in rng.integers(0, 1000, 70)] + run + [f"{side}x"] * 9) for side in "ab"]
+        owner, place, key = passages.windows_of(pa.array([*texts, "short"]), 32, 20)
+        assert set(key[owner == 0]) & set(key[owner == 1]) and 2 not in owner
+
+
+def test_least_of_every_run_is_taken():
+    rng = np.random.default_rng(4)
+    for top in (1, 3, 1000):
+        owner = np.repeat(np.arange(5), [1, 19, 20, 21, 90])
+        keys = rng.integers(0, top, len(owner)).astype(np.uint64)
+        taken = passages.least_of(keys, owner, 20)
+        for o in range(5):
+            at = np.flatnonzero(owner == o)
+            for i in range(max(1, len(at) - 19)):
+                reach = at[i:i + 20]
+                assert any(keys[t] == keys[reach].min() for t in taken if t in reach)
+        if top == 1:        # equal keys are not all taken
+            assert len(taken) < 12
+
+
 def test_warc_records_are_read_back_and_skipped():
     rows = [{c: None for c in warc.COLUMNS} | {"record_type": k, "record_id": f"<urn:page:{i}>", "payload": p,
                                                "payload_length": 12, "target_uri": "http://a/\r\nX: y"}
