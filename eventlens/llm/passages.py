@@ -1,8 +1,9 @@
 """Repeated paragraphs and passages across documents.
 
-Paragraphs (lines of at least 40 words) are compared by the MinHash bands, exact Jaccard
+Paragraphs (lines of as many words as a shingle has, five, or more) are compared by the MinHash bands, exact Jaccard
 check and components of ``near_dups``, with bands tuned for recall: 8 bands of 3 places find
-a pair at 0.8 with a probability of 0.997, and equal paragraphs always. A passage inside a
+a pair at 0.8 with a probability of 0.997, and equal paragraphs always; equal lines are one
+row before that. ``least`` sets a greater least length; by default there is none. A passage inside a
 paragraph has other neighbours in each document, so no paragraph shows it; windows of 32
 words do, and equal windows are one class. Taken are the window with the least hash of every
 20 consecutive ones (winnowing), so that equal runs of 51 words share a window wherever they
@@ -33,7 +34,6 @@ from eventlens.llm.near_dups import BROADCAST_ROWS, SIMILARITY, classes, fingerp
 from eventlens.llm.pieces import AT_A_TIME
 from eventlens.llm.shingles import SHINGLE, mix, words_of
 
-LEAST_WORDS = 40
 WINDOW = 32
 #: Of so many consecutive windows one is taken: equal runs of WINDOW + EVERY - 1 words share one.
 EVERY = 20
@@ -111,10 +111,11 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def repeated_paragraphs(docs: DataFrame, least: int, size: int, similarity: float, rows: int, n_bands: int) -> DataFrame:
+def repeated_paragraphs(docs: DataFrame, least: int | None, size: int, similarity: float, rows: int, n_bands: int) -> DataFrame:
     """(doc, place, n_words, class_id, first_doc, first_place) for (doc, text)."""
-    lines = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(word_count("line") >= least)
-    found = classes(lines, "line", size, similarity, rows, n_bands)
+    lines = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(
+        word_count("line") >= max(size, least or 0))
+    found = classes(cut_lineage(lines.select("line").distinct()), "line", size, similarity, rows, n_bands)
     units = lines.select(fingerprint("line").alias("fp"), "doc", F.col("place").cast("long").alias("place"),
                          word_count("line").alias("n_words"))
     by_text = units.groupBy("fp").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"),
@@ -139,7 +140,7 @@ def repeated_windows(docs: DataFrame, window: int, every: int) -> DataFrame:
                                           F.col("first.doc").alias("first_doc"), F.col("first.place").alias("first_place"))
 
 
-def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, window: int = WINDOW,
+def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int | None = None, window: int = WINDOW,
             size: int = SHINGLE, similarity: float = SIMILARITY, rows: int = ROWS, n_bands: int = BANDS,
             every: int = EVERY) -> DataFrame:
     """(doc_id, kind, place, n_words, class_id, first_doc_id, removed): a row for each repeated

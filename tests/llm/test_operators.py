@@ -1,7 +1,7 @@
 """Nulls, empty and repeated rows, and tables without rows, through the operators."""
 
 import corpus_pipeline
-from eventlens.llm import mixing, near_dups, quality, secrets
+from eventlens.llm import mixing, near_dups, passages, quality, secrets
 from eventlens.session import scratch_path
 
 WORDS = " ".join(f"word{i}" for i in range(60)) + "."
@@ -20,6 +20,16 @@ def test_near_duplicates(spark):
     assert found == {(1, 1, 3), (2, 1, 3), (3, 3, 1), (4, 4, 1), (None, None, 1)}
 
 
+def test_short_paragraphs_are_compared(spark):
+    line = " ".join(f"short{i}" for i in range(12))
+    rows = [(1, f"one\n{line}\nfour words are few", "a"), (2, f"{line} more\nother", "a"), (3, "alone\n" + line, "a"),
+            (4, "four words are few\nfive words are quite enough", "a"), (5, "five words are quite enough", "a")]
+    found = {(r.doc_id, r.place, r.n_words, r.first_doc_id, r.removed) for r in passages.repeats(docs(spark, rows)).collect()}
+    assert found == {(1, 1, 12, 1, False), (2, 0, 13, 1, True), (3, 1, 12, 1, True), (4, 1, 5, 4, False), (5, 0, 5, 4, True)}
+    longer = passages.repeats(docs(spark, rows), least=10).collect()
+    assert {r.doc_id for r in longer} == {1, 2, 3}
+
+
 def test_mix_takes_what_is_planned(spark):
     shares = mixing.plan(docs(spark)).collect()
     assert len(shares) == len(ROWS) and all(r.taken <= 2 * r.size for r in shares)
