@@ -9,6 +9,10 @@ words do, and equal windows are one class. Taken are the window with the least h
 20 consecutive ones (winnowing), so that equal runs of 51 words share a window wherever they
 begin, and also those from each beginning of a sentence, which show some shorter runs.
 
+From a window both texts are followed to where they stop being equal, on both sides; the
+result is that whole run of words. A run of a document and its first occurrence, which is
+that of the window, are one class; runs of a class that overlap in a document are one.
+
 A class counts as repeated if it occurs in at least two documents, told apart by id and
 text. Its first occurrence, by document id and place, stays; the others are removals.
 
@@ -128,31 +132,122 @@ def repeated_paragraphs(docs: DataFrame, least: int | None, size: int, similarit
                                           F.col("first.doc").alias("first_doc"), F.col("first.place").alias("first_place"))
 
 
+def run(a: np.ndarray, b: np.ndarray) -> int:
+    """Number of equal elements that ``a`` and ``b`` begin with."""
+    n, at, width = min(len(a), len(b)), 0, 64
+    while at < n:
+        other = np.flatnonzero(a[at:min(at + width, n)] != b[at:min(at + width, n)])
+        if len(other):
+            return at + int(other[0])
+        at, width = at + width, 2 * width
+    return n
+
+
+def equal_spans(a: np.ndarray, b: np.ndarray, anchors: list[tuple[int, int]], window: int) -> list[tuple[int, int, int]]:
+    """(start in a, end in a, start in b) of the maximal equal runs of words around windows
+    that begin at ``anchors``, pairs of places in ``a`` and in ``b``."""
+    found, ends = [], {}
+    for x, y in sorted(anchors):
+        if x + window <= ends.get(x - y, 0):
+            continue
+        after = run(a[x:], b[y:])
+        if after < window:      # equal hashes of different windows
+            continue
+        before = run(a[:x][::-1], b[:y][::-1])
+        ends[x - y] = x + after
+        found.append((x - before, x + after, y - before))
+    return found
+
+
+def extending(window: int) -> Callable:
+    """For mapInArrow: (doc, first_doc, own, anchors, text, first_text) to the equal spans. In
+    one document the window that is the first stays, also where spans overlap with themselves."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, AT_A_TIME):
+                part = batch.slice(start, AT_A_TIME)
+                both = pa.concat_arrays([part.column("text"), part.column("first_text")]).dictionary_encode()
+                owner, word, _, _ = words_of(both.dictionary)
+                cuts = np.searchsorted(owner, np.arange(len(both.dictionary) + 1))
+                texts = [word[i:j] for i, j in zip(cuts[:-1], cuts[1:])]
+                code, rows = np.asarray(both.indices), []
+                for i, (own, anchors) in enumerate(zip(part.column("own").to_pylist(), part.column("anchors").to_pylist())):
+                    pairs = [(x["place"], x["first_place"]) for x in anchors]
+                    for begin, end, first in equal_spans(texts[code[i]], texts[code[part.num_rows + i]], pairs, window):
+                        kept = max(0, first + window - begin) if own else 0
+                        if begin + kept < end:
+                            rows.append((i, begin + kept, end, first + kept))
+                at, begin, end, first = (pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 4))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc").take(at), part.column("first_doc").take(at), begin, end, first],
+                    ["doc", "first_doc", "start", "end", "first_start"])
+    return run
+
+
+def merged(spans: DataFrame, *by: str) -> DataFrame:
+    """``by``, start, end: overlapping spans of a group put together. Equal spans are one
+    before the shuffle."""
+    step = F.aggregate(
+        F.array_sort("spans"), F.array().cast("array<struct<start:bigint,end:bigint>>"),
+        lambda out, x: F.when((F.size(out) > 0) & (x["start"] < F.element_at(out, -1)["end"]), F.concat(
+            F.slice(out, 1, F.size(out) - 1),
+            F.array(F.struct(F.element_at(out, -1)["start"].alias("start"),
+                             F.greatest(F.element_at(out, -1)["end"], x["end"]).alias("end")))))
+        .otherwise(F.concat(out, F.array(x))))
+    return (spans.groupBy(*by).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+            .select(*by, F.explode(step).alias("s")).select(*by, "s.start", "s.end"))
+
+
 def repeated_windows(docs: DataFrame, window: int, every: int) -> DataFrame:
-    """The same for windows. Keys of all windows are shuffled once, with the least and the
-    greatest document that a task saw; only rows of keys in two documents are made again."""
+    """The same for passages, with start and end. Keys of all windows are shuffled once, with
+    the least and the greatest document that a task saw; only rows of keys in two documents
+    are made again. Each pair of a document and the first one meets with both texts once."""
     rows = docs.mapInArrow(windows(window, every), "key long, doc struct<id:bigint,text:bigint>, place long")
     again = small(rows.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"),
                                           F.min(F.struct("doc", "place")).alias("first"))
                   .where("lo <> hi").select("key", "first"))
-    return rows.join(again, "key").select("doc", "place", F.lit(window).cast("long").alias("n_words"),
-                                          F.concat(F.lit("w"), "key").alias("class_id"),
-                                          F.col("first.doc").alias("first_doc"), F.col("first.place").alias("first_place"))
+    found = rows.join(again, "key").select("doc", "place", F.col("first.doc").alias("first_doc"),
+                                           F.col("first.place").alias("first_place"))
+    # a place is there once for each repeated row, and as the first of its own key
+    pairs = cut_lineage(found.where("doc <> first_doc OR place <> first_place").groupBy("doc", "first_doc").agg(
+        F.collect_set(F.struct("place", "first_place")).alias("anchors")))
+    needed = small(pairs.select("doc").union(pairs.select("first_doc")).distinct())
+    texts = cut_lineage(docs.join(needed, "doc", "left_semi").dropDuplicates(["doc"]))
+    full = (pairs.join(texts.select(F.col("doc").alias("first_doc"), F.col("text").alias("first_text")), "first_doc")
+            .join(texts, "doc").select("doc", "first_doc", F.expr("doc = first_doc").alias("own"), "anchors", "text", "first_text"))
+    document = "struct<id:bigint,text:bigint>"
+    spans = cut_lineage(full.mapInArrow(
+        extending(window), f"doc {document}, first_doc {document}, start long, end long, first_start long"))
+
+    # a class: a merged span of a first document and what is equal to parts of it
+    first = merged(spans.select(F.col("first_doc").alias("doc"), F.col("first_start").alias("start"),
+                                (F.col("first_start") + F.col("end") - F.col("start")).alias("end")), "doc")
+    first = small(first.withColumn("class_id", F.concat(F.lit("w"), F.xxhash64("doc.id", "doc.text"), F.lit(":"), "start")))
+    of = first.select(F.col("doc").alias("first_doc"), F.col("start").alias("first_place"), F.col("end").alias("till"), "class_id")
+    placed = spans.join(of, "first_doc").where("first_start >= first_place AND first_start < till")
+    copies = merged(placed, "doc", "class_id", "first_doc", "first_place")
+    kept = first.select("doc", "class_id", F.col("doc").alias("first_doc"), F.col("start").alias("first_place"), "start", "end")
+    return kept.withColumn("removed", F.lit(False)).unionByName(copies.withColumn("removed", F.lit(True))).select(
+        "doc", F.col("start").alias("place"), F.expr("end - start").alias("n_words"), "class_id", "first_doc", "first_place",
+        "start", "end", "removed")
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int | None = None, window: int = WINDOW,
             size: int = SHINGLE, similarity: float = SIMILARITY, rows: int = ROWS, n_bands: int = BANDS,
             every: int = EVERY) -> DataFrame:
-    """(doc_id, kind, place, n_words, class_id, first_doc_id, removed): a row for each repeated
-    paragraph (place: its line) and window (place: its first word), the first ones included."""
+    """(doc_id, kind, place, n_words, class_id, first_doc_id, removed, start, end): a row for each
+    repeated paragraph (place: its line) and passage (place: its first word), the first ones
+    included. A passage is the words from start up to end; a paragraph, a whole line, has none."""
     source = docs.select(F.struct(F.col(doc_id).cast("long").alias("id"), F.xxhash64(whole(text)).alias("text")).alias("doc"),
                          whole(text).alias("text"))
-    found = [repeated_paragraphs(source, least, size, similarity, rows, n_bands).withColumn("kind", F.lit("paragraph")),
-             repeated_windows(source, window, every).withColumn("kind", F.lit("passage"))]
+    lines = repeated_paragraphs(source, least, size, similarity, rows, n_bands)
     first = F.col("doc").eqNullSafe(F.col("first_doc")) & (F.col("place") == F.col("first_place"))
-    return found[0].unionByName(found[1]).select(
+    lines = lines.withColumns({"removed": ~first, "start": F.lit(None).cast("long"), "end": F.lit(None).cast("long"),
+                               "kind": F.lit("paragraph")})
+    passages = repeated_windows(source, window, every).withColumn("kind", F.lit("passage"))
+    return lines.unionByName(passages).select(
         F.col("doc.id").alias("doc_id"), "kind", "place", "n_words", "class_id", F.col("first_doc.id").alias("first_doc_id"),
-        (~first).alias("removed"))
+        "removed", "start", "end")
 
 
 def op8_passages(spark, sf_dir):

@@ -83,6 +83,19 @@ def test_equal_runs_share_a_window_wherever_they_begin():
         assert set(key[owner == 0]) & set(key[owner == 1]) and 2 not in owner
 
 
+def test_spans_are_maximal():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        a, b = rng.integers(0, 2, 60), rng.integers(0, 2, 50)
+        a[20:40] = b[5:25] = rng.integers(0, 2, 20)
+        anchors = [(x, y) for x in range(53) for y in range(43) if (a[x:x + 8] == b[y:y + 8]).all()]
+        want = {(x, y) for x, y in anchors if not x or not y or a[x - 1] != b[y - 1]}
+        found = passages.equal_spans(a, b, [*anchors, (0, 49)], 8)
+        assert {(s, f) for s, _, f in found} == want and len(found) == len(want)
+        for s, e, f in found:
+            assert (a[s:e] == b[f:f + e - s]).all() and (e == 60 or f + e - s == 50 or a[e] != b[f + e - s])
+
+
 def test_least_of_every_run_is_taken():
     rng = np.random.default_rng(4)
     for top in (1, 3, 1000):

@@ -30,6 +30,17 @@ def test_short_paragraphs_are_compared(spark):
     assert {r.doc_id for r in longer} == {1, 2, 3}
 
 
+def test_passages_are_extended_to_where_texts_differ(spark):
+    passage = " ".join(f"same{i}" for i in range(70))
+    other = {i: " ".join(f"own{i}x{j}" for j in range(30)) for i in range(6)}
+    rows = [(1, f"{other[1]} {passage} {other[1]}", "a"), (2, f"{other[2]} and {passage}", "a"), (2, f"{other[2]} and {passage}", "a"),
+            (3, f"{passage}\n{other[3]}", "a"), (None, f"{other[4]} {passage} {other[5]}", "a"), (5, "x y z " * 60, "a")]
+    found = {(r.doc_id, r.start, r.end, r.n_words, r.first_doc_id, r.removed) for r in passages.repeats(docs(spark, rows)).collect()}
+    # the row without an id is the first
+    assert found == {(None, 30, 100, 70, None, False), (1, 30, 100, 70, None, True), (2, 31, 101, 70, None, True),
+                     (3, 0, 70, 70, None, True)} | {x for x in found if x[1] is None}
+
+
 def test_mix_takes_what_is_planned(spark):
     shares = mixing.plan(docs(spark)).collect()
     assert len(shares) == len(ROWS) and all(r.taken <= 2 * r.size for r in shares)
