@@ -1,10 +1,12 @@
 """Streaming twins: the same tables read as a stream, checked against the same SQL.
 
 A window is emitted once the watermark has passed its end, so the SQL keeps the
-windows that end a minute or more before the last event.
+windows that end a minute or more before the last event. The queries called _whole get
+the events as files in order of time, a micro-batch each, and a closing row later than
+all windows; they return every window and are checked against the batch SQL as it is.
 """
 
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from checks.registry import query, rounded
 from checks.transactions import CODE, DOCUMENTED, RESULT, SQUEEZED, _cents, _totals
@@ -12,7 +14,7 @@ from eventlens import schemas
 from eventlens.plans import transactions as rules
 from eventlens.session import scratch_path
 from eventlens.sources import standin
-from eventlens.sources.tables import EVENTS
+from eventlens.sources.tables import EVENTS, read_table
 from eventlens.streaming import jobs
 
 ONCE = {"availableNow": True}
@@ -26,6 +28,29 @@ def stream_transactions(spark, sf):
     return jobs.with_watermark(standin.as_transactions(events, standin.squeezed_time()))
 
 
+SLICES = 5
+
+
+def closed_transactions(spark, sf):
+    """As above from files in order of time, one for each micro-batch, and a closing row.
+
+    Event times are squeezed, so ten days are twenty minutes: later than all windows.
+    The closing row's own window is never passed by the watermark, so it does not come out.
+    """
+    events = read_table(spark, sf, "events").select(*EVENTS.names)
+    path = scratch_path(spark, "slices")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = events.agg(F.min(micros), F.max(micros)).first()
+    number = F.floor((micros - F.lit(lo)) * SLICES / F.lit(hi - lo + 1))
+    for i in range(SLICES):     # written one after the other, as their times of change give the order
+        events.where(number == i).coalesce(1).write.mode("append").parquet(path)
+    values = {"ts": F.expr(f"timestamp_micros({hi}) + interval 10 days"), "event_id": F.lit(-1), "user_id": F.lit(-1)}
+    (spark.range(1).select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENTS])
+     .coalesce(1).write.mode("append").parquet(path))
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", "1").parquet(path)
+    return jobs.with_watermark(standin.as_transactions(stream, standin.squeezed_time()))
+
+
 def finished(spark, df, name):
     """Run a streaming query over all there is; its output folder."""
     path = scratch_path(spark, name)
@@ -50,3 +75,21 @@ def stream_rule_documented(spark, sf):
     path = finished(spark, jobs.documented_rule(windows), "rule_documented")
     stored = T.StructType([*schemas.TRANSACTION_RESULTS, T.StructField("miles_moved", T.DoubleType())])
     return rounded(_cents(spark.read.schema(stored).parquet(path)), miles_moved=3)
+
+
+@query(_totals(SQUEEZED, "5 minutes") + RESULT + CODE)
+def stream_rule_code_whole(spark, sf):
+    """The windowed rule as a stream of several micro-batches, every window."""
+    path = finished(spark, rules.rule_code(closed_transactions(spark, sf)), "rule_code")
+    return _cents(spark.read.schema(schemas.TRANSACTION_RESULTS).parquet(path))
+
+
+@query(_totals(SQUEEZED, "5 minutes") + DOCUMENTED)
+def stream_rule_documented_whole(spark, sf):
+    """The chained streams over several micro-batches, every window."""
+    points = finished(spark, rules.windows_with_point(closed_transactions(spark, sf), "event_id"),
+                      "points")
+    windows = spark.readStream.schema(jobs.WINDOW_POINTS).parquet(points)
+    path = finished(spark, jobs.documented_rule(windows), "rule_documented")
+    stored = T.StructType([*schemas.TRANSACTION_RESULTS, T.StructField("miles_moved", T.DoubleType())])
+    return rounded(_cents(spark.read.schema(stored).parquet(path)), miles_moved=3)

@@ -69,6 +69,14 @@ def test_stream_equals_batch_and_goes_on_from_its_checkpoint(spark, tmp_path):
     assert want and got == want
 
 
+def test_registered_streams_return_every_window(spark):
+    import __spark_entry__ as entry
+    queries = entry.queries()
+    for name in ("rule_code", "rule_documented"):
+        got = sorted(map(tuple, queries[f"stream_{name}_whole"](spark, SF).collect()))
+        assert got and got == sorted(map(tuple, queries[name](spark, SF).collect()))
+
+
 def test_late_row_is_dropped_and_counted(spark, tmp_path):
     wire = tmp_path / "wire"
     write_slice(rows(spark, *[("a", m, 0, 1, 44.7) for m in (0, 1, 2)], ("b", 20, 1, 0, 44.7)), wire, 0)
