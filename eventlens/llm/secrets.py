@@ -33,13 +33,15 @@ class Rule:
     """A kind of secret: what matches, and which matches count.
 
     ``shortest`` is the least length of ``group`` (0: the whole match); shorter matches are
-    consumed and dropped. ``hint``: a text that every match holds, looked for first.
+    consumed and dropped. ``hint``: a text that every match holds, looked for first. ``rest``:
+    what the span takes in after the match; the SQL leaves it out.
     """
     kind: str
     pattern: str
     shortest: int = 0
     group: int = 0
     hint: str | None = None
+    rest: str = ""
 
 
 # The three base kinds, in their order.
@@ -49,14 +51,21 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{16,}", hint="AKIA"),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
+# After a key's first line: all up to its END line if no other BEGIN comes before, or else
+# the header fields and base-64 lines; line ends may be written as \\n.
+_GAP = r"(?:[\x20\x09-\x0D]|\\[rn]){0,9}"
+_KEY = (r"(?:[^-]*+(?:-(?!----)[^-]*+){0,100}-----END [A-Z ]{0,40}PRIVATE KEY-----|"
+        rf"(?:{_GAP}(?:Proc-Type|DEK-Info):[^\r\n\\]*+){{0,4}}"
+        rf"(?:(?:{_GAP}[A-Za-z0-9+/=]{{16,}}){{1,1000}}"
+        r"(?:(?:\r?\n|\\n)[\x20\x09]*[A-Za-z0-9+/]{1,15}={0,2}(?=[\x20\x09]*(?:[\r\n\\\"']|$)))?)?)")
 ADDED = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", hint="PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", hint="PRIVATE KEY-----", rest=_KEY),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", hint="eyJ"),
     Rule("host_token", r"gh[oprsu]_[A-Za-z0-9]{36,}", hint="gh"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}", hint="xox"),
 )
 RULES = BASE + ADDED
-VERSION = "2"
+VERSION = "3"
 
 
 def spans(text: Column, rule: Rule, order: int) -> Column:
@@ -65,11 +74,12 @@ def spans(text: Column, rule: Rule, order: int) -> Column:
     The texts between matches and the matches themselves alternate, so their lengths give
     the positions.
     """
-    found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    pattern = rule.pattern + rule.rest
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     if rule.hint:
         found = F.when(F.contains(text, F.lit(rule.hint)), found).otherwise(F.array().cast("array<string>"))
-    gaps = F.split(text, rule.pattern, -1)
-    counted = (F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
+    gaps = F.split(text, pattern, -1)
+    counted = (F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group))
                if rule.group else found)
     steps = F.zip_with(F.zip_with(gaps, found, lambda g, m: F.struct(
         F.length(g).alias("gap"), F.length(m).alias("match"))),

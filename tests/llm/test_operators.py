@@ -58,6 +58,20 @@ def test_ledger_scans_a_blob_once(spark):
     assert clean.startswith("[secret]") and "abcdefgh1234" not in clean
 
 
+def test_private_keys_go_whole(spark):
+    lines = [f"MIIE{i:02d}" + "aB3+/x" * 9 for i in range(30)]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0011\n\n"
+    body = "\n".join(lines) + "\nqQ=="
+    texts = [f"{begin}\n{body}\n{end}", f"{begin}\n{head}{body}\n{end}", f"{begin}\n{body}", f"{begin}\n{head}{body}",
+             f"{begin}\\n" + body.replace("\n", "\\n") + f"\\n{end}", f"{begin}\r\n" + body.replace("\n", "\r\n"),
+             f"{begin}\n{body}\n\n{begin}\n{body}\n{end}"]
+    rows = [(i, f"before {t}\nafter it - all stays", "a") for i, t in enumerate(texts)]
+    clean = {r.doc_id: r.text for r in secrets.redact(docs(spark, rows), scratch_path(spark, "ledger")).collect()}
+    one = "before [secret]\nafter it - all stays"
+    assert clean == {i: one for i in range(6)} | {6: "before [secret]\n\n[secret]\nafter it - all stays"}
+
+
 def test_quality_keeps_prose(spark):
     kept = {(r.doc_id, r.kept) for r in quality.rate(docs(spark)).collect()}
     assert kept == {(1, True), (2, True), (3, False), (4, False), (None, False)}
