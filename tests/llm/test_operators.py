@@ -72,6 +72,18 @@ def test_private_keys_go_whole(spark):
     assert clean == {i: one for i in range(6)} | {6: "before [secret]\n\n[secret]\nafter it - all stays"}
 
 
+def test_small_chunks_encode_as_the_library(spark):
+    import public_tokenizers
+    from eventlens.llm import codec
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    texts = [WORDS * 4, "a" * 2000, "é ünï 12 don't\n\n " * 90, "x " * 140 + "y" * 700 + " z" * 300, " " * 900, "short"]
+    rows = [(i, t, "a") for i, t in enumerate(texts)]
+    encoded = codec.encode(docs(spark, rows), ranks, chunk=300, overlap=64)
+    library = codec.codec(ranks).encoding
+    got = {r.doc_id: (list(r.ids), bytes(r.decoded)) for r in codec.decode(encoded, ranks).collect()}
+    assert got == {i: (library.encode_ordinary(t), t.encode()) for i, t in enumerate(texts)}
+
+
 def test_quality_keeps_prose(spark):
     kept = {(r.doc_id, r.kept) for r in quality.rate(docs(spark)).collect()}
     assert kept == {(1, True), (2, True), (3, False), (4, False), (None, False)}
