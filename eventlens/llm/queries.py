@@ -9,11 +9,11 @@ from __future__ import annotations
 from functools import wraps
 
 from eventlens.session import prepare
-from eventlens.llm import (codec, collocations, decontaminate, merkle, mixing, near_dups, passages, quality, secrets,
+from eventlens.llm import (alignment, codec, collocations, decontaminate, merkle, mixing, near_dups, passages, quality, secrets,
                            token_counts, token_store, warc)
 
 MODULES = (token_counts, quality, warc, near_dups, token_store, merkle, codec, passages, secrets, mixing,
-           decontaminate, collocations)
+           decontaminate, collocations, alignment)
 
 
 def queries():
