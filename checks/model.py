@@ -5,12 +5,15 @@ The model is random by nature, so these have no SQL twin; tests hold their invar
 
 from pyspark.sql import functions as F
 
+from checks.messages import DATE, MESSAGES
 from checks.registry import query
-from checks.words import training_tokens
+from checks.words import lexicon, training_tokens
+from eventlens import schemas
 from eventlens.operators import coherence
 from eventlens.operators.ranking import number_rows
-from eventlens.plans import topic_model
+from eventlens.plans import artefact, classify, shipped, topic_model
 from eventlens.session import cut_lineage, scratch_path
+from eventlens.sources import standin
 
 _models: dict[tuple[str, str], str] = {}
 _docs: dict[tuple[str, str], object] = {}
@@ -84,3 +87,49 @@ def perplexity(spark, sf):
     bound = topic_model.log_perplexity(prepared(spark, sf), saved_model(spark, sf))
     documents = prepared(spark, sf).agg(F.count(F.lit(1)).alias("documents"))
     return documents.withColumn("log_perplexity", F.round(F.lit(bound), 6))
+
+
+def trained_artefact(spark, sf):
+    """(messages, the artefact saved and loaded again, its dimension with a label for each topic)"""
+    messages = standin.spread_messages(spark, sf)
+    spelled = classify.with_tokens(messages, stop=False).select("message_id", "tokens")
+    path = scratch_path(spark, "artefact")
+    topic_model.save(artefact.train(messages, lambda docs: lexicon(docs.select("message_id", "tokens").unionByName(spelled))), path)
+    model = topic_model.load(path)
+    labelled = artefact.dimension(spark, model).withColumn("topic", F.concat(F.lit("topic "), "id"))
+    return messages, model, cut_lineage(schemas.conform(labelled, schemas.DIM_TOPICS))
+
+
+def by_shipped_model(spark, sf):
+    messages, model, dim = trained_artefact(spark, sf)
+    archive = scratch_path(spark, "model") + ".zip"
+    shipped.export(model, archive)
+    shipped.register(spark, archive, archive.rsplit("/", 1)[-1].removesuffix(".zip"))
+    return cut_lineage(classify.classified_by_function(messages, dim, "CLASS_TOPIC_MODEL"))
+
+
+@query()
+def classified_by_model(spark, sf):
+    """The whole job: train, save, load, ship to the workers, classify in SQL, look up labels."""
+    return by_shipped_model(spark, sf)
+
+
+@query(f"""select message_id, {DATE}, message_from_name, true as in_range, true as labelled
+           from ({MESSAGES}) where message_subject is not null""")
+def classified_by_model_rows(spark, sf):
+    """What any seed must hold: each message with a subject once, a topic, that topic's label."""
+    return by_shipped_model(spark, sf).select(
+        "message_id", "message_date", "message_from_name",
+        F.col("topic").cast("int").between(0, topic_model.Training.topics - 1).alias("in_range"),
+        (F.col("topic_description") == F.concat(F.lit("topic "), "topic")).alias("labelled"))
+
+
+@query(f"""select message_id, {DATE}, message_from_name, true as in_range, true as labelled
+           from ({MESSAGES}) where message_subject is not null""")
+def classified_by_pipeline_rows(spark, sf):
+    """The same by the loaded pipeline in serving order, without Python."""
+    messages, model, dim = trained_artefact(spark, sf)
+    return artefact.classified_messages(messages, model, dim).select(
+        "message_id", "message_date", "message_from_name",
+        F.col("topic").cast("int").between(0, topic_model.Training.topics - 1).alias("in_range"),
+        (F.col("topic_description") == F.concat(F.lit("topic "), "topic")).alias("labelled"))

@@ -95,15 +95,15 @@ def weighted_words(text: Column) -> Column:
         p["word"].alias("word")))
 
 
-def tokens_sql(subject: str) -> str:
-    """The same tokens without stopwords, as SQL text over an expression."""
+def tokens_sql(subject: str, stop: bool = True) -> str:
+    """The same tokens as SQL text over an expression, without stopwords if ``stop``."""
     def quoted(s: str) -> str:
         return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
     chars, bare = accent_table()
     lowered = f"lower({subject})"
     plain = (f"if(octet_length({lowered}) = length({lowered}), {lowered}, "
              f"translate({lowered}, {quoted(chars)}, {quoted(bare)}))")
-    stop = ", ".join(quoted(w) for w in ENGLISH_STOPWORDS)
+    listed = ", ".join(quoted(w) for w in ENGLISH_STOPWORDS)
     return (f"filter(regexp_extract_all({plain}, {quoted(TOKEN_PATTERN)}, 0), "
             f"t -> length(t) between {MIN_LENGTH} and {MAX_LENGTH} "
-            f"and not startswith(t, '_') and t not in ({stop}))")
+            f"and not startswith(t, '_')" + (f" and t not in ({listed}))" if stop else ")"))
