@@ -1,41 +1,32 @@
 """Streaming twins: the same tables read as a stream, checked against the same SQL.
 
-A window is emitted once the watermark has passed its end, so the SQL keeps the
-windows that end a minute or more before the last event. The queries called _whole get
-the events as files in order of time, a micro-batch each, and a closing row later than
-all windows; they return every window and are checked against the batch SQL as it is.
+A window is emitted once the watermark has passed its end. The queries get the events as
+files in order of time, a micro-batch each, and a closing row later than all windows; they
+return every window and are checked against the batch SQL as it is.
 """
 
 from pyspark.sql import functions as F, types as T
 
 from checks.registry import query, rounded
-from checks.transactions import CODE, DOCUMENTED, RESULT, SQUEEZED, _cents, _totals
+from checks.transactions import BOX, CODE, DOCUMENTED, RAW, RESULT, SQUEEZED, _cents, _totals
 from eventlens import schemas
+from eventlens.functions import records
 from eventlens.plans import transactions as rules
 from eventlens.session import scratch_path
-from eventlens.sources import standin
+from eventlens.sources import connectors, standin
 from eventlens.sources.tables import EVENTS, read_table
 from eventlens.streaming import jobs
 
 ONCE = {"availableNow": True}
-CLOSED = ("w_end <= (select max(transaction_datetime) from tx) - interval '1 minute'")
-
-
-def stream_transactions(spark, sf):
-    """The events table as a stream of transactions with a watermark."""
-    events = (spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
-              .parquet(sf))
-    return jobs.with_watermark(standin.as_transactions(events, standin.squeezed_time()))
-
-
 SLICES = 5
 
 
-def closed_transactions(spark, sf):
-    """As above from files in order of time, one for each micro-batch, and a closing row.
+def closed_transactions(spark, sf, raw=False):
+    """The events table as a stream of transactions with a watermark, from files in order of
+    time, one for each micro-batch, and a closing row.
 
-    Event times are squeezed, so ten days are twenty minutes: later than all windows.
-    The closing row's own window is never passed by the watermark, so it does not come out.
+    The closing row is ten days later, twenty minutes where event times are squeezed: later
+    than all windows. The watermark never passes its own window, so that does not come out.
     """
     events = read_table(spark, sf, "events").select(*EVENTS.names)
     path = scratch_path(spark, "slices")
@@ -48,7 +39,8 @@ def closed_transactions(spark, sf):
     (spark.range(1).select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENTS])
      .coalesce(1).write.mode("append").parquet(path))
     stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", "1").parquet(path)
-    return jobs.with_watermark(standin.as_transactions(stream, standin.squeezed_time()))
+    time = F.col("ts").cast("timestamp") if raw else standin.squeezed_time()
+    return jobs.with_watermark(standin.as_transactions(stream, time))
 
 
 def finished(spark, df, name):
@@ -59,22 +51,25 @@ def finished(spark, df, name):
     return path
 
 
-@query(_totals(SQUEEZED, "5 minutes") + RESULT + CODE + f" and {CLOSED}")
-def stream_rule_code(spark, sf):
-    """Watermark, five-minute windows, append: the windowed rule as a stream."""
-    path = finished(spark, rules.rule_code(stream_transactions(spark, sf)), "rule_code")
-    return _cents(spark.read.schema(schemas.TRANSACTION_RESULTS).parquet(path))
+DISTANCE = T.StructType([*schemas.TRANSACTION_RESULTS, T.StructField("miles_moved", T.DoubleType())])
 
 
-@query(_totals(SQUEEZED, "5 minutes") + DOCUMENTED + f" and {CLOSED}")
+@query(_totals(SQUEEZED, "5 minutes") + DOCUMENTED)
 def stream_rule_documented(spark, sf):
-    """Two chained streams: window points, then the last point held as keyed state."""
-    points = finished(spark, rules.windows_with_point(stream_transactions(spark, sf), "event_id"),
-                      "points")
-    windows = spark.readStream.schema(jobs.WINDOW_POINTS).parquet(points)
-    path = finished(spark, jobs.documented_rule(windows), "rule_documented")
-    stored = T.StructType([*schemas.TRANSACTION_RESULTS, T.StructField("miles_moved", T.DoubleType())])
-    return rounded(_cents(spark.read.schema(stored).parquet(path)), miles_moved=3)
+    """One stream: windows, then the last point held as value state with a timer."""
+    df = jobs.documented_rule_stream(closed_transactions(spark, sf), "event_id")
+    path = finished(spark, df, "rule_documented")
+    return rounded(_cents(spark.read.schema(DISTANCE).parquet(path)), miles_moved=3)
+
+
+@query(_totals(RAW, "10 hours") + RESULT + CODE + BOX)
+def stream_rule_sql_10h(spark, sf):
+    """The ten-hour rule as SQL over a streaming view, written and read back as records."""
+    closed_transactions(spark, sf, raw=True).createOrReplaceTempView("customer_stream")
+    path = scratch_path(spark, "rule-records")
+    connectors.write_record_stream(
+        spark.sql(rules.rule_sql("customer_stream")), "text", {}, scratch_path(spark, "rule-progress"), ONCE, path).awaitTermination()
+    return _cents(records.decode_strict(spark.read.schema("value string").text(path), schemas.TRANSACTION_RESULTS))
 
 
 @query(_totals(SQUEEZED, "5 minutes") + RESULT + CODE)
@@ -91,5 +86,4 @@ def stream_rule_documented_whole(spark, sf):
                       "points")
     windows = spark.readStream.schema(jobs.WINDOW_POINTS).parquet(points)
     path = finished(spark, jobs.documented_rule(windows), "rule_documented")
-    stored = T.StructType([*schemas.TRANSACTION_RESULTS, T.StructField("miles_moved", T.DoubleType())])
-    return rounded(_cents(spark.read.schema(stored).parquet(path)), miles_moved=3)
+    return rounded(_cents(spark.read.schema(DISTANCE).parquet(path)), miles_moved=3)

@@ -11,6 +11,7 @@ from eventlens.operators.ranking import number_rows
 from eventlens.plans import classify, reports, topic_report
 from eventlens.session import cut_lineage, scratch_path
 from eventlens.sources import standin
+from eventlens.streaming import jobs
 
 _stored: dict[tuple[str, str], str] = {}
 
@@ -268,3 +269,38 @@ def coherence_by_topic(spark, sf):
     words = coherence_words(spark, sf)
     pairs = coherence.npmi_pairs(words, coherence.window_counts(tokens(spark, sf), words))
     return coherence.coherence_by_topic(pairs).withColumn("c_v", F.round("c_v", 6))
+
+
+#: Days after the first message at which the dimension changes.
+CHANGES = (7, 14, 21)
+VERSIONS = f"""
+versions as (
+  select id, v, case when v = 2 and id = '19' then null else 'topic ' || id || ' v' || v end as topic,
+         timestamp '2024-01-01 00:00:00' + to_days(d) as valid_from
+  from (select unnest(range(24))::varchar as id),
+       (values (0, 0), {", ".join(f"({v}, {d})" for v, d in enumerate(CHANGES, 1))}) as changes(v, d)
+  where id <> '3' or v > 0)"""
+
+
+def label_versions(spark, sf):
+    """The dimension's labels with three changes: id 19 is gone for a week, id 3 begins late."""
+    rows = [(v, d) for v, d in enumerate((0, *CHANGES))]
+    changes = F.array(*[F.struct(F.lit(v).alias("v"), F.lit(d).alias("d")) for v, d in rows])
+    ids = spark.range(24).select(F.col("id").cast("string").alias("id"), F.inline(changes))
+    label = F.when(~((F.col("v") == 2) & (F.col("id") == "19")), F.concat(F.lit("topic "), "id", F.lit(" v"), "v"))
+    start = F.expr("timestampadd(DAY, d, timestamp'2024-01-01 00:00:00')")
+    return (ids.where("id <> '3' or v > 0")
+            .select("id", label.alias("topic"), start.alias("valid_from")))
+
+
+@query(f"""with {SCORED}, {VERSIONS}
+select message_id, topic_id as topic, topic as topic_description, {TIME_TEXT.format("message_date")} as proc_time
+from (select message_id, message_date, topic_id, arg_max({{'t': topic}}, valid_from).t as topic
+      from scored join versions on topic_id = id and valid_from <= message_date group by all)
+where topic is not null""")
+def lookup_as_of_time(spark, sf):
+    """Each message gets the label that its topic had when the message was processed; its own
+    date stands for that time."""
+    messages = standin.spread_messages(spark, sf).withColumn("proc_time", F.col("message_date"))
+    found = jobs.classify_as_of(messages, weights(spark, sf), label_versions(spark, sf))
+    return found.select("message_id", "topic", "topic_description", "proc_time")

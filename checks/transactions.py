@@ -82,14 +82,15 @@ def geo_box_prefilter(spark, sf):
     return _cents(rules.geo_box_prefilter(standin.transactions_raw(spark, sf)))
 
 
-@query(_totals(RAW, "10 hours") + RESULT + CODE
-       + " and max_lat > 44.57 and max_lat < 44.91 and max_lon > 20.20 and max_lon < 20.62")
+BOX = " and max_lat > 44.57 and max_lat < 44.91 and max_lon > 20.20 and max_lon < 20.62"
+
+
+@query(_totals(RAW, "10 hours") + RESULT + CODE + BOX)
 def geo_box_having(spark, sf):
     return _cents(rules.geo_box_having(standin.transactions_raw(spark, sf)))
 
 
-@query(_totals(RAW, "10 hours") + RESULT + CODE
-       + " and max_lat > 44.57 and max_lat < 44.91 and max_lon > 20.20 and max_lon < 20.62")
+@query(_totals(RAW, "10 hours") + RESULT + CODE + BOX)
 def rule_sql_10h(spark, sf):
     """The ten-hour rule as SQL over a named table."""
     standin.transactions_raw(spark, sf).createOrReplaceTempView("customer_table")

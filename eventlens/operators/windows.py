@@ -11,15 +11,17 @@ TIME = "transaction_datetime"
 
 
 def tumbling_totals(transactions: DataFrame, width: str, *extra: Column,
-                    time: str = TIME) -> DataFrame:
+                    time: str = TIME, keep_time: str | None = None) -> DataFrame:
     """One row per customer and epoch-aligned window of ``width``.
 
     Every aggregate has a partial form, so a customer who holds most of the rows
     is reduced to one row per window in each task before the shuffle. Works on
     batch and streaming frames alike. ``last_transaction_time`` is the window's
     end; ``lat`` and ``lon`` are independent maxima; the count skips NULL types.
+    ``keep_time`` names a column for the window's event time, which a stateful step
+    after this one needs for its watermark.
     """
-    return (transactions
+    totals = (transactions
             .groupBy("customer", F.window(time, width).alias("w"))
             .agg(F.count("transaction_type").cast("double").alias("count_transactions"),
                  F.sum("online_payment_amount").alias("total_online_payment_amount"),
@@ -27,8 +29,10 @@ def tumbling_totals(transactions: DataFrame, width: str, *extra: Column,
                  F.max("lat").alias("lat"),
                  F.max("lon").alias("lon"),
                  *extra)
-            .withColumn("last_transaction_time", F.col("w.end"))
-            .drop("w"))
+            .withColumn("last_transaction_time", F.col("w.end")))
+    if keep_time:
+        totals = totals.withColumn(keep_time, F.window_time("w"))
+    return totals.drop("w")
 
 
 def last_in_store_point(width: str, tie_break: str | None = None,

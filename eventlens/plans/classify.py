@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventlens.functions import text
 from eventlens.operators.corpus import lemmas
@@ -116,11 +116,15 @@ def topic_lookup(topics: DataFrame, dim_topics: DataFrame) -> DataFrame:
     return topics.join(dim, F.col("topic_id") == F.col("id"), "inner").drop("id")
 
 
-def to_message_topics(looked_up: DataFrame) -> DataFrame:
-    """The sink's columns: the query's topic_id and topic_name under the sink's names."""
-    return conform(looked_up.withColumn("topic", F.col("topic_id"))
-                            .withColumn("topic_description", F.col("topic_name")),
-                   MESSAGE_TOPICS)
+def to_message_topics(looked_up: DataFrame, *carry: str) -> DataFrame:
+    """The sink's columns: the query's topic_id and topic_name under the sink's names.
+    ``carry`` columns come after them."""
+    named = (looked_up.withColumn("topic", F.col("topic_id"))
+             .withColumn("topic_description", F.col("topic_name")))
+    if not carry:
+        return conform(named, MESSAGE_TOPICS)
+    carried = [named.schema[c] for c in carry]
+    return conform(named, T.StructType([*MESSAGE_TOPICS.fields, *carried]))
 
 
 def classified_messages(messages: DataFrame, weights: DataFrame,

@@ -81,11 +81,13 @@ def rule_documented_basic(transactions: DataFrame, width: str = SHORT_WINDOW) ->
 
 
 def windows_with_point(transactions: DataFrame, tie_break: str | None = None,
-                       width: str = SHORT_WINDOW, time: str = TIME) -> DataFrame:
+                       width: str = SHORT_WINDOW, time: str = TIME,
+                       keep_time: str | None = None) -> DataFrame:
     """Window totals plus the last in-store position inside the window."""
     point = last_in_store_point(width, tie_break, time)
-    return (tumbling_totals(transactions, width, *point, time=time)
-            .select(*RESULT, "point_lat", "point_lon"))
+    kept = [keep_time] if keep_time else []
+    return (tumbling_totals(transactions, width, *point, time=time, keep_time=keep_time)
+            .select(*RESULT, "point_lat", "point_lon", *kept))
 
 
 def moved(windows: DataFrame, miles: float = DOCUMENTED_MILES) -> DataFrame:

@@ -18,7 +18,7 @@ PREFERRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
-# For sessions made here: keyed streaming state outgrows the heap long before the disk.
+# Keyed streaming state outgrows the heap long before the disk, and state with timers needs it.
 STREAMING = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -29,7 +29,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings above to a running session; preferred ones only if unset."""
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
-    for key, value in PREFERRED.items():
+    for key, value in {**PREFERRED, **STREAMING}.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     return spark

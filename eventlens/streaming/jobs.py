@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from eventlens.functions.records import decode_strict
+from eventlens.operators.versions import lookup_as_of
 from eventlens.operators.windows import TIME
 from eventlens.plans import transactions as rules
-from eventlens.plans.classify import classified_messages
+from eventlens.plans.classify import classified_messages, keyword_scores, to_message_topics, with_tokens
 from eventlens.schemas import (MESSAGE_TOPICS_LENGTHS, TRANSACTION_RESULTS, TRANSACTIONS,
                                enforce_lengths)
 
@@ -87,6 +90,59 @@ def documented_rule(windows: DataFrame) -> DataFrame:
     return rules.moved(rules.documented_counts(with_previous_point(windows)))
 
 
+class LastPoint(StatefulProcessor):
+    """A customer's last point as value state, forgotten ``keep`` after the last window.
+
+    Windows of a batch are handled in the order of their ends. A timer in event time, moved
+    with every window, clears the state of a customer who has gone silent.
+    """
+
+    def __init__(self, keep_seconds: float):
+        self.keep = int(keep_seconds * 1000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.point = handle.getValueState("point", _STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        found = pd.concat(list(rows)).sort_values("last_transaction_time")
+        known = self.point.get() if self.point.exists() else (None, None)
+        before = pd.DataFrame([tuple(known)], columns=["point_lat", "point_lon"], dtype="float64")
+        points = pd.concat([before, found[["point_lat", "point_lon"]]]).ffill()
+        found["previous_lat"] = points["point_lat"].to_numpy()[:-1]
+        found["previous_lon"] = points["point_lon"].to_numpy()[:-1]
+        lat, lon = points["point_lat"].iloc[-1], points["point_lon"].iloc[-1]
+        if pd.notna(lat):
+            self.point.update((float(lat), float(lon)))
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            end = found["last_transaction_time"].iloc[-1]
+            self.handle.registerTimer(int(end.timestamp() * 1000) + self.keep)
+        yield found[TRACKED.names]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.point.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def documented_rule_stream(transactions: DataFrame, tie_break: str | None = None, width: str = rules.SHORT_WINDOW,
+                           keep_seconds: float = 7 * 86400) -> DataFrame:
+    """The documented rule in one streaming query: windows, then keyed state after them.
+
+    ``transactions`` has a watermark. State of a customer without windows for
+    ``keep_seconds`` of event time is dropped; the next window then has no previous point.
+    """
+    windows = rules.windows_with_point(transactions, tie_break, width, keep_time="closed_at")
+    tracked = windows.groupBy("customer").transformWithStateInPandas(
+        LastPoint(keep_seconds), TRACKED, "append", "eventTime")
+    points = TRACKED.names[len(TRANSACTION_RESULTS):]
+    clean = tracked.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in points})
+    return rules.moved(rules.documented_counts(clean))
+
+
 # --- classification with a changing dimension -------------------------------
 
 Table = Callable[[SparkSession], DataFrame]
@@ -106,6 +162,49 @@ def classify_each_batch(weights: Table, dim_topics: Table,
     return run
 
 
+def recorded_time(spark: SparkSession, path: str, batch_id: int) -> datetime:
+    """The processing time of a micro-batch: now at its first run, the same when it is replayed.
+
+    The first run writes it below ``path`` before anything else of the batch. A run that
+    ended while writing left no row, and the next one writes anew.
+    """
+    own = f"{path.rstrip('/')}/batch-{batch_id}"
+    written = spark.range(1).select(F.current_timestamp().alias("proc_time"))
+    written.write.mode("ignore").parquet(own)
+    known = spark.read.schema(written.schema).parquet(own).first()
+    if known is None:
+        written.write.mode("overwrite").parquet(own)
+        known = spark.read.schema(written.schema).parquet(own).first()
+    return known.proc_time
+
+
+def classify_as_of(messages: DataFrame, weights: DataFrame, versions: DataFrame, at: str = "proc_time") -> DataFrame:
+    """Topics of the messages with the labels that were valid at the time in column ``at``.
+
+    ``versions`` is (id, topic, valid_from); a version without label says that the id is gone.
+    The sink's columns, and ``at``.
+    """
+    topics = keyword_scores(with_tokens(messages), weights, "message_date", "message_from_name", at)
+    labels = versions.select(F.col("id").alias("topic_id"), F.col("topic").alias("topic_name"), "valid_from")
+    found = lookup_as_of(topics, labels, ["topic_id"], at, ["message_id"]).where(F.col("topic_name").isNotNull())
+    return to_message_topics(found.withColumn("proc_time", F.col(at)), "proc_time")
+
+
+def classify_each_batch_as_of(weights: Table, versions: Table, sink: Callable[[DataFrame, int], None],
+                              times: str) -> Callable:
+    """A foreachBatch function whose rows carry their processing time and the labels of that time.
+
+    Times are kept in the folder ``times``, so a replayed batch finds the labels it first
+    saw, whatever the dimension has become since.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        now = F.lit(recorded_time(spark, times, batch_id)).cast("timestamp")
+        classified = classify_as_of(batch.withColumn("proc_time", now), weights(spark), versions(spark))
+        sink(enforce_lengths(classified, MESSAGE_TOPICS_LENGTHS), batch_id)
+    return run
+
+
 def start_classification(messages: DataFrame, weights: Table, dim_topics: Table,
                          sink: Callable[[DataFrame, int], None], checkpoint: str,
                          trigger: dict):
