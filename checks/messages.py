@@ -1,6 +1,6 @@
 """Messages: scans, filters, upserts and time reports that need no topic."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from checks.registry import query
 from checks.transactions import TIME_TEXT
@@ -9,8 +9,9 @@ from eventlens.operators.ranking import number_rows
 from eventlens.operators.upsert import merge_by_key
 from eventlens.plans import reports
 from eventlens.plans.classify import with_processing_time
-from eventlens.session import cut_lineage
+from eventlens.session import cut_lineage, scratch_path
 from eventlens.sources import standin
+from eventlens.sources.keyed_table import KeyedTable
 
 # Beside standin.messages: the same view for DuckDB.
 MESSAGES = """
@@ -113,6 +114,41 @@ def upsert_topics(spark, sf):
     return merge_by_key(once, updates, ["message_id"], order)
 
 
+KEYED = T.StructType([T.StructField("message_id", T.StringType()), T.StructField("message_date", T.TimestampType()),
+                      T.StructField("message_from_name", T.StringType()), T.StructField("batch", T.IntegerType())])
+
+
+@query(f"""
+with m as ({MESSAGES}),
+sent as (
+  select message_id, message_date, message_from_name, cast(message_id as bigint) % 3 as batch from m
+  union all
+  select message_in_reply_to, message_date, message_from_name, 3 from m where message_in_reply_to is not null
+  union all
+  select message_id, message_date, message_from_name, 4 from m where message_id like '%7')
+select message_id, {DATE}, message_from_name, cast(batch as integer) as batch from (
+  select *, row_number() over (partition by message_id
+                               order by batch desc, message_date desc, message_from_name desc) as r
+  from sent) where r = 1""")
+def keyed_table_compacted(spark, sf):
+    """Five batches into a keyed table, folded after the second and the fourth; the last one
+    waits. The one taken in first comes once more and changes nothing."""
+    m = standin.messages(spark, sf).select("message_id", "message_in_reply_to", "message_date", "message_from_name")
+    table = KeyedTable(spark, scratch_path(spark, "keyed"), KEYED, ["message_id"], ["message_date", "message_from_name"], buckets=8)
+
+    def send(rows, batch):
+        table.write_batch(rows.withColumn("batch", F.lit(batch)), batch)
+    for i in range(3):
+        send(m.where(F.col("message_id").cast("long") % 3 == i), i)
+        if i == 1:
+            table.compact()
+    send(m.where(F.col("message_in_reply_to").isNotNull()).withColumn("message_id", F.col("message_in_reply_to")), 3)
+    table.compact()
+    send(m.where("message_id = '-1'"), 0)
+    send(m.where(F.col("message_id").endswith("7")), 4)
+    return table.read()
+
+
 @query(f"""select message_id,
                   row_number() over (order by message_id) - 1 as document_no
            from ({MESSAGES})""")

@@ -7,6 +7,7 @@ return every window and are checked against the batch SQL as it is.
 
 from pyspark.sql import functions as F, types as T
 
+from checks.records import PROPS
 from checks.registry import query, rounded
 from checks.transactions import BOX, CODE, DOCUMENTED, RAW, RESULT, SQUEEZED, _cents, _totals
 from eventlens import schemas
@@ -87,3 +88,27 @@ def stream_rule_documented_whole(spark, sf):
     windows = spark.readStream.schema(jobs.WINDOW_POINTS).parquet(points)
     path = finished(spark, jobs.documented_rule(windows), "rule_documented")
     return rounded(_cents(spark.read.schema(DISTANCE).parquet(path)), miles_moved=3)
+
+
+@query("""
+with wire as (select props as value from events union all select text from documents),
+read as (select case when json_valid(value) then json_extract_string(value, '$.k') end as k
+         from wire)
+select k is null as rejected, count(*) as n,
+       cast(coalesce(sum(cast(k as bigint)), 0) as bigint) as total
+from read group by 1""")
+def stream_quarantine(spark, sf):
+    """Records and prose in one stream: it goes on, and both sides together hold every row."""
+    wire = scratch_path(spark, "wire")
+    (read_table(spark, sf, "events").select(F.col("props").alias("value"))
+     .unionByName(read_table(spark, sf, "documents").select(F.col("text").alias("value")))
+     .repartition(4, "value").write.parquet(wire))
+    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", "2").parquet(wire)
+    good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
+    jobs.start_decoding(stream, PROPS, good, bad, scratch_path(spark, "decoding-progress"), ONCE).awaitTermination()
+    number = T.StructField("batch_id", T.LongType())
+    kept = spark.read.schema(T.StructType([*PROPS, number])).parquet(good).select(F.lit(False).alias("rejected"), "k")
+    rejected = spark.read.schema(T.StructType([T.StructField("value", T.StringType()), number])).parquet(bad).select(
+        F.lit(True).alias("rejected"), F.lit(None).cast("long").alias("k"))
+    return kept.unionByName(rejected).groupBy("rejected").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).cast("long").alias("total"))

@@ -6,11 +6,12 @@ from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from eventlens.functions.records import decode_strict
+from eventlens.functions.records import decode_or_quarantine, decode_strict
 from eventlens.operators.versions import lookup_as_of
 from eventlens.operators.windows import TIME
 from eventlens.plans import transactions as rules
@@ -37,7 +38,31 @@ def transactions_from_records(records: DataFrame) -> DataFrame:
     return with_watermark(decode_strict(records, TRANSACTIONS))
 
 
-def write_table_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict):
+def split_each_batch(schema: T.StructType, good_path: str, bad_path: str) -> Callable:
+    """A foreachBatch function that decodes records and sets the bad ones aside.
+
+    Good rows go to one folder, rejected text and its reason to the other, each under the
+    batch's number: a batch that runs again replaces its own rows on both sides, so together
+    they hold every record once. The batch is kept while both are written, and read once.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for rows, path in zip(decode_or_quarantine(kept, schema), (good_path, bad_path)):
+                rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            kept.unpersist()
+    return run
+
+
+def start_decoding(records: DataFrame, schema: T.StructType, good_path: str, bad_path: str, checkpoint: str,
+                   trigger: dict = CHECKPOINT_EVERY):
+    """Decode a stream of records; it goes on whatever a record looks like."""
+    return (records.writeStream.foreachBatch(split_each_batch(schema, good_path, bad_path))
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
+def write_table_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict = CHECKPOINT_EVERY):
     """Append to a parquet folder; each window is written once, when the watermark passes it."""
     return (df.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", checkpoint).option("path", path)
@@ -205,9 +230,17 @@ def classify_each_batch_as_of(weights: Table, versions: Table, sink: Callable[[D
     return run
 
 
+def start_classification_as_of(messages: DataFrame, weights: Table, versions: Table,
+                               sink: Callable[[DataFrame, int], None], times: str, checkpoint: str,
+                               trigger: dict = CHECKPOINT_EVERY):
+    return (messages.writeStream
+            .foreachBatch(classify_each_batch_as_of(weights, versions, sink, times))
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
 def start_classification(messages: DataFrame, weights: Table, dim_topics: Table,
                          sink: Callable[[DataFrame, int], None], checkpoint: str,
-                         trigger: dict):
+                         trigger: dict = CHECKPOINT_EVERY):
     return (messages.writeStream
             .foreachBatch(classify_each_batch(weights, dim_topics, sink))
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())

@@ -2,7 +2,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import PySparkException, StreamingQueryException
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from eventlens import schemas
 from eventlens.functions.records import encode
@@ -122,6 +122,84 @@ def test_last_point_is_kept_across_batches(spark, tmp_path):
     assert [(r[0], r[4]) for r in got] == [("a", 44.8), ("b", 44.7)]
 
 
+def test_one_stream_keeps_the_last_point_and_forgets_the_silent(spark, tmp_path):
+    def busy(customer, minute, lat):
+        return ([(customer, minute + i / 10, 2, 0, 44.7) for i in range(6)]
+                + ([(customer, minute + 1, 0, 1, lat)] if lat else []))
+    items = [busy("a", 0, 44.6) + busy("b", 1, 44.6), busy("a", 5, None), busy("a", 10, 44.8),
+             busy("a", 15, 44.801) + busy("b", 16, 44.7), busy("c", 100, 44.6), busy("a", 125, 44.6) + busy("c", 125, 44.7), [CLOSING]]
+    wire = tmp_path / "wire"
+    for i, part in enumerate(items):
+        write_slice(rows(spark, *part), wire, i)
+    result = schemas.TRANSACTION_RESULTS.names
+    batch = rules.rule_documented(rows(spark, *[r for part in items for r in part]))
+    want = sorted(map(tuple, batch.select(*result).collect()))
+    for keep, left_out in ((7 * 86400, set()), (3600, {("a", 44.6)})):   # a is silent from minute 20 to 125, c for 25
+        df = jobs.documented_rule_stream(jobs.transactions_from_records(record_stream(spark, wire)), keep_seconds=keep)
+        run(df, tmp_path / f"out{keep}", tmp_path / f"cp{keep}")
+        got = sorted(map(tuple, table(spark, tmp_path / f"out{keep}").select(*result).collect()))
+        assert got == [r for r in want if (r[0], r[4]) not in left_out]
+    assert {(r[0], r[4]) for r in want} == {("a", 44.8), ("b", 44.7), ("a", 44.6), ("c", 44.7)}
+
+
+def test_bad_records_are_set_aside_also_after_a_restart(spark, tmp_path):
+    wire, good, bad = tmp_path / "wire", tmp_path / "good", tmp_path / "bad"
+    schema = T.StructType([T.StructField("k", T.LongType())])
+
+    def go():
+        jobs.start_decoding(record_stream(spark, wire), schema, str(good), str(bad), str(tmp_path / "cp"), ONCE).awaitTermination()
+    wire.mkdir()
+    (wire / "0.txt").write_text('{"k": 1}\nprose\n{"x": 2}\n')
+    go()
+    (wire / "1.txt").write_text('{"k": 3}\n{"k": "no number"}\n')
+    go()
+    again = jobs.split_each_batch(schema, str(good), str(bad))      # the last batch runs once more
+    again(spark.createDataFrame([('{"k": 3}',), ('{"k": "no number"}',)], "value string"), 1)
+    assert sorted(r.k for r in spark.read.parquet(str(good)).collect()) == [1, 3]
+    assert sorted((r.value, r.reason) for r in spark.read.parquet(str(bad)).collect()) == [
+        ("prose", "malformed"), ('{"k": "no number"}', "malformed"), ('{"x": 2}', "missing: k")]
+
+
+def test_a_replayed_batch_sees_the_labels_it_first_saw(spark, tmp_path):
+    weights = spark.createDataFrame([("0", "alpha", 500), ("1", "beta", 500)], "topic_id string, word string, thousandths long")
+    labels = [("0", "old", datetime(2020, 1, 1)), ("1", "here", datetime(2020, 1, 1))]
+
+    def versions(session):
+        return session.createDataFrame(labels, "id string, topic string, valid_from timestamp")
+    seen = {}
+
+    def sink(df, batch_id):
+        seen.setdefault(batch_id, []).append(sorted(map(tuple, df.collect())))
+    run_batch = jobs.classify_each_batch_as_of(lambda s: weights, versions, sink, str(tmp_path / "times"))
+    batch = spark.createDataFrame([(T0, k, None, "n", "e", s) for k, s in [("m1", "alpha"), ("m2", "beta"), ("m3", None)]], schemas.MESSAGES)
+    run_batch(batch, 0)
+    now = jobs.recorded_time(spark, str(tmp_path / "times"), 0)
+    labels += [("0", "new", now + timedelta(microseconds=1)), ("1", None, now + timedelta(microseconds=1)), ("0", "older", datetime(2019, 1, 1))]
+    run_batch(batch, 0)
+    run_batch(batch, 1)
+    assert seen[0][0] == seen[0][1]
+    assert [(r[0], r[4], r[5]) for r in seen[0][0]] == [("m1", "old", now), ("m2", "here", now)]
+    assert [(r[0], r[4]) for r in seen[1][0]] == [("m1", "new")]     # id 1 is gone by then
+
+
+def test_versions(spark):
+    from eventlens.operators.versions import lookup_as_of, with_valid_to
+    day = lambda d: datetime(2024, 1, d)
+    table = spark.createDataFrame([("a", "one", day(1)), ("a", "two", day(3)), ("a", "tie", day(3)), ("b", None, day(2)), ("b", "x", None)],
+                                  "key string, name string, valid_from timestamp")
+    facts = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(
+        [("a", day(1)), ("a", day(2)), ("a", day(9)), ("a", None), ("b", day(1)), ("b", day(5)), (None, day(5)), ("c", day(5))])],
+        "id int, key string, at timestamp")
+    for sizes in ({}, {"max_rows": 0}):     # broadcast, and by shuffle with salted hot keys
+        left = lookup_as_of(facts, table, ["key"], "at", ["id"], how="left", **sizes).collect()
+        assert sorted((r.id, r.name, r.valid_from) for r in left if r.valid_from) == [
+            (0, "one", day(1)), (1, "one", day(1)), (2, "two", day(3)), (5, None, day(2))]
+        assert len(left) == 8
+        assert {r.id for r in lookup_as_of(facts, table, ["key"], "at", ["id"], **sizes).collect()} == {0, 1, 2, 5}
+    ends = {(r.name, r.valid_to) for r in with_valid_to(table.where("key = 'a' and name <> 'tie'"), ["key"]).collect()}
+    assert ends == {("one", day(3)), ("two", None)}
+
+
 def test_json_sink(spark, tmp_path):
     wire = tmp_path / "wire"
     write_slice(rows(spark, ("a", 0, 0, 1, 44.7)), wire, 0)
