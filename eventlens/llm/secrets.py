@@ -51,13 +51,15 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{16,}", hint="AKIA"),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
-# After a key's first line: all up to its END line if no other BEGIN comes before, or else
-# the header fields and base-64 lines; line ends may be written as \\n.
-_GAP = r"(?:[\x20\x09-\x0D]|\\[rn]){0,9}"
-_KEY = (r"(?:[^-]*+(?:-(?!----)[^-]*+){0,100}-----END [A-Z ]{0,40}PRIVATE KEY-----|"
-        rf"(?:{_GAP}(?:Proc-Type|DEK-Info):[^\r\n\\]*+){{0,4}}"
-        rf"(?:(?:{_GAP}[A-Za-z0-9+/=]{{16,}}){{1,1000}}"
-        r"(?:(?:\r?\n|\\n)[\x20\x09]*[A-Za-z0-9+/]{1,15}={0,2}(?=[\x20\x09]*(?:[\r\n\\\"']|$)))?)?)")
+# After a key's first line: all up to its END line if no other BEGIN or END comes before, or
+# else the header fields and base-64 lines; line ends may be written as \\n. All loops are
+# possessive and without a bound: the matcher then goes round, not deeper, and a key of any
+# number of lines, hyphens, fields or blanks goes whole.
+_GAP = r"(?:[\x20\x09-\x0D]|\\[rn])*+"
+_KEY = (r"(?:[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z ]{0,40}PRIVATE KEY-----|"
+        rf"(?:{_GAP}(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+"
+        rf"(?:(?:{_GAP}[A-Za-z0-9+/=]{{16,}}+)++"
+        r"(?:(?:\r?\n|\\n)[\x20\x09]*+[A-Za-z0-9+/]{1,15}={0,2}(?=[\x20\x09]*+(?:[\r\n\\\"']|$)))?)?)")
 ADDED = (
     Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", hint="PRIVATE KEY-----", rest=_KEY),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", hint="eyJ"),
@@ -65,7 +67,7 @@ ADDED = (
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}", hint="xox"),
 )
 RULES = BASE + ADDED
-VERSION = "3"
+VERSION = "4"
 
 
 def spans(text: Column, rule: Rule, order: int) -> Column:

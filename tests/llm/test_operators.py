@@ -72,6 +72,19 @@ def test_private_keys_go_whole(spark):
     assert clean == {i: one for i in range(6)} | {6: "before [secret]\n\n[secret]\nafter it - all stays"}
 
 
+def test_keys_of_any_form_go_whole(spark):
+    """Neither many lines nor odd fillings end the match, or the executor."""
+    line = "aB3+/x" * 10
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    many = "\n".join([line] * 100_000)
+    fields = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n" * 5
+    texts = [f"{begin}\n{many}", f"{begin}\n{many}\n{end}", f"{begin}\n{line}\n# {'-' * 1000}\n{line}\n{end}", f"{begin}\n{fields}\n{line}",
+             f"{begin}{' ' * 60}\n\n{line}{' ' * 40}\n{line}", f"{begin}\n{line}\n-{end}", f"{begin}\n{'- ' * 50_000}{end}"]
+    rows = [(i, f"before {t}\nafter it - all stays", "a") for i, t in enumerate(texts)]
+    clean = {r.doc_id: r.text for r in secrets.redact(docs(spark, rows), scratch_path(spark, "ledger")).collect()}
+    assert clean == dict.fromkeys(range(len(texts)), "before [secret]\nafter it - all stays")
+
+
 def test_small_chunks_encode_as_the_library(spark):
     import public_tokenizers
     from eventlens.llm import codec
