@@ -6,8 +6,10 @@ from checks.registry import query
 from checks.transactions import RAW, TIME_TEXT
 from eventlens import schemas
 from eventlens.functions import records, times
-from eventlens.sources import standin
-from eventlens.sources.tables import read_table, spread
+from eventlens.session import scratch_path
+from eventlens.sources import connectors, standin
+from eventlens.sources.csv_split import read_csv_split
+from eventlens.sources.tables import DOCUMENTS, read_table, spread
 
 PROPS = T.StructType([T.StructField("k", T.LongType())])
 
@@ -100,3 +102,12 @@ def key_violations(spark, sf):
     events = read_table(spark, sf, "events").select(
         F.col("user_id").cast("string").alias("message_id"))
     return schemas.key_violations(events, "message_id")
+
+
+@query("select doc_id, text, lang from documents")
+def csv_split(spark, sf):
+    """Texts with line ends through one CSV file, which is read by blocks."""
+    schema = T.StructType([f for f in DOCUMENTS if f.name in ("doc_id", "text", "lang")])
+    path = scratch_path(spark, "csv")
+    connectors.write_csv(read_table(spark, sf, "documents").select(*schema.names).coalesce(1), path)
+    return read_csv_split(spark, path, schema)

@@ -31,8 +31,10 @@ class Training:
     documents in each of ``passes`` iterations.
 
     The dictionary holds all words that occur in at least ``min_doc_freq``
-    documents. The model is topics x words on the driver (online), so for a large
-    corpus the caller raises that number; nothing is left out by size alone.
+    documents, and in at least the share ``min_doc_share`` of them. It and the model,
+    topics x words, are on the driver. A share bounds both at every size: if a
+    document has L distinct words on average, at most L / share words pass. Without
+    one the caller raises the number for a large corpus.
     """
     topics: int = 22
     seed: int = 100
@@ -40,6 +42,7 @@ class Training:
     chunk: int = 1000
     optimizer: str = "online"
     min_doc_freq: int = 1
+    min_doc_share: float = 0.0
     docs_per_partition: int = 50_000
     min_share: float = 0.01
 
@@ -48,6 +51,10 @@ class Training:
         per_pass = max(math.ceil(documents / self.chunk), 1)
         return per_pass * self.passes, 1.0 / per_pass
 
+    def least(self, documents: int) -> int:
+        """Documents in which a word of the dictionary must occur."""
+        return max(self.min_doc_freq, math.ceil(self.min_doc_share * documents))
+
     def partitions(self, documents: int) -> int:
         """By the number of documents, not of cores, so that a seed draws the same anywhere."""
         return max(math.ceil(documents / self.docs_per_partition), 8)
@@ -69,9 +76,9 @@ def train(docs: DataFrame, key: str, settings: Training = Training(),
     executor. They are laid out by key, so that a seed draws the same documents
     in every run; every partition adds a matrix of topics x words to each update.
     """
-    bagger = CountVectorizerModel.from_vocabulary(
-        dictionary(docs, settings.min_doc_freq, tokens), inputCol=tokens, outputCol="bag")
     documents = docs.count()
+    bagger = CountVectorizerModel.from_vocabulary(
+        dictionary(docs, settings.least(documents), tokens), inputCol=tokens, outputCol="bag")
     bags = cut_lineage_in_place(bagger.transform(docs).select(key, "bag")
                                 .repartition(settings.partitions(documents), key)
                                 .sortWithinPartitions(key))

@@ -147,8 +147,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with header; quoted values may hold line ends. The schema is declared, not inferred.
 
     An unquoted nothing is NULL, a quoted one is empty text: the marker keeps Spark
-    from taking both for NULL. Values with line ends make a file unsplittable: keep
-    such files small and many.
+    from taking both for NULL. Values with line ends make a file one task here:
+    :func:`eventlens.sources.csv_split.read_csv_split` reads a large one by blocks.
     """
     return (spark.read.schema(schema)
             .options(**CSV, multiLine="true", emptyValue="", nullValue=r"\N").csv(path))
