@@ -177,3 +177,32 @@ def late_rows_audit(spark, sf):
     late = rules.late_rows_audit(standin.transactions_as_arrived(spark, sf))
     return late.select("event_id", "customer", "arrival_offset", "transaction_datetime",
                        "watermark", "window_end", "dropped")
+
+
+@query(f"""
+with tx as (select *, event_id % 2 as topic_partition,
+                  ((event_id // 2000) * 2000 + (event_id * 37) % 2000) // 2 as arrival_offset
+            from ({SQUEEZED})),
+seen as (
+  select *, max(transaction_datetime) over (
+              partition by topic_partition order by arrival_offset rows between unbounded preceding and 1 preceding)
+            - interval '1 minute' as watermark
+  from tx),
+late as (
+  select *, time_bucket(interval '5 minutes', transaction_datetime, timestamp '1970-01-01')
+            + interval '5 minutes' as window_end
+  from seen where transaction_datetime < watermark)
+select event_id, customer, topic_partition, arrival_offset,
+       {TIME_TEXT.format('transaction_datetime')} as transaction_datetime,
+       {TIME_TEXT.format('watermark')} as watermark,
+       {TIME_TEXT.format('window_end')} as window_end,
+       window_end <= watermark as dropped
+from late""")
+def late_rows_audit_partitions(spark, sf):
+    """The same for two topic partitions whose offsets coincide, each with its own watermark."""
+    arrived = standin.transactions_as_arrived(spark, sf)
+    arrived = (arrived.withColumn("topic_partition", F.col("event_id") % 2)
+               .withColumn("arrival_offset", F.expr("arrival_offset div 2")))
+    late = rules.late_rows_audit(arrived, rules.LateAudit(block=1000, partition=("topic_partition",)))
+    return late.select("event_id", "customer", "topic_partition", "arrival_offset", "transaction_datetime",
+                       "watermark", "window_end", "dropped")

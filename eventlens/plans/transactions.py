@@ -119,6 +119,7 @@ class LateAudit:
     delay: str = WATERMARK_DELAY
     width: str = SHORT_WINDOW
     block: int = 1_000_000
+    partition: tuple[str, ...] = ()
 
 
 def late_rows_audit(transactions: DataFrame, audit: LateAudit = LateAudit(),
@@ -126,9 +127,11 @@ def late_rows_audit(transactions: DataFrame, audit: LateAudit = LateAudit(),
     """Rows behind the watermark at their arrival, and whether their window had closed.
 
     The watermark of a row is the highest event time that arrived before it, less
-    the delay. A late row is only lost when its whole window is behind as well.
+    the delay. A late row is only lost when its whole window is behind as well. Offsets
+    that count by topic partition need ``partition``: each partition has its own watermark.
     """
-    seen = running_max_before(transactions, time, audit.offset, "seen", block=audit.block)
+    seen = running_max_before(transactions, time, audit.offset, "seen", block=audit.block,
+                              partition=audit.partition)
     return (seen.withColumn("watermark", F.col("seen") - F.expr(f"interval {audit.delay}"))
             .where(F.col(time) < F.col("watermark"))
             .withColumn("window_end", F.window(time, audit.width)["end"])
