@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from eventlens.operators.joins import lookup_join
 from eventlens.session import cut_lineage
 from eventlens.llm.common import word_count
 
@@ -120,24 +121,35 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         seed: int = SEED) -> DataFrame:
     """``docs`` with every row as often as :func:`plan` takes it; same columns.
 
-    Rows alike in id, source and size share their repetitions: as many rows come out as the
-    plan holds for them together, dealt evenly.
+    In a source's seeded order the rows that are taken once more come first, so the last of
+    them, by key, id and size, decides every other row where it lies: texts are not shuffled.
+    Rows alike with that one in id and size, if not all of them are taken once more, are
+    numbered; as many come out as the plan holds for them together.
     """
     shares = plan(docs, doc_id, text, source, weights, ratio, max_epochs, seed)
-    times = (shares.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"),
-                            F.col("size").alias("__size"))
-             .agg(F.min("repetitions").alias("__least"), F.max("repetitions").alias("__most"),
-                  F.sum("repetitions").alias("__sum"), F.count(F.lit(1)).alias("__rows")))
-    own = docs.select(*docs.columns, F.col(doc_id).alias("__d"), F.col(source).alias("__s"),
-                      word_count(text).alias("__n"))
-    joined = own.join(times, F.col("__d").eqNullSafe(F.col("__id"))
-                      & F.col("__s").eqNullSafe(F.col("__source")) & (F.col("__n") == F.col("__size")))
-    # alike rows differ by one repetition at most; the first __sum - rows * least of them have it
-    number = F.row_number().over(Window.partitionBy("__d", "__s", "__n").orderBy(*docs.columns))
-    tied = (joined.where("__rows > 1").withColumn("__times", F.col("__least") + (
-        number <= F.col("__sum") - F.col("__rows") * F.col("__least")).cast("long")))
-    single = joined.where("__rows = 1").withColumn("__times", F.col("__sum"))
-    return (single.unionByName(tied).where("__times > 0")
+    place = F.struct(seeded(seed, F.col("doc_id")).alias("key"), F.col("doc_id").alias("id"), "size")
+    shares = shares.select(F.col("source").isNull().alias("__none"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("__named"),
+                           place.alias("place"), "repetitions")
+    shares = cut_lineage(shares)
+    same = ["__none", "__named"]
+    bounds = shares.groupBy(*same).agg(F.min("repetitions").alias("__least"), F.max("repetitions").alias("__most"))
+    bounds = cut_lineage(bounds)        # one row per source
+    more = lookup_join(shares, bounds, same, ["place"]).where("repetitions > __least")
+    last = more.groupBy(*same).agg(F.max("place").alias("__last"))
+    last = cut_lineage(bounds.join(last, same, "left"))
+    alike = lookup_join(shares, last.select(*same, "__last", "__least"), same, ["place"]).where("place = __last").groupBy(*same).agg(
+        F.count(F.lit(1)).alias("__rows"), F.count_if(F.col("repetitions") > F.col("__least")).alias("__more"))
+    last = cut_lineage(last.join(alike, same, "left"))
+    own = docs.select("*", F.col(source).isNull().alias("__none"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("__named"),
+                      F.struct(seeded(seed, F.col(doc_id)).alias("key"), F.col(doc_id).alias("id"), word_count(text).alias("size")).alias("__place"))
+    joined = lookup_join(own, last, same, ["__place"])
+    tied = (F.col("__place") == F.col("__last")) & (F.col("__more") < F.col("__rows"))
+    first = F.col("__last").isNotNull() & (F.col("__place") <= F.col("__last"))
+    joined = joined.withColumn("__tied", F.coalesce(tied, F.lit(False)))
+    plain = joined.where("NOT __tied").withColumn("__times", F.when(first, F.col("__most")).otherwise(F.col("__least")))
+    number = F.row_number().over(Window.partitionBy("__none", "__named", "__place").orderBy(*docs.columns))
+    numbered = joined.where("__tied").withColumn("__times", F.when(number <= F.col("__more"), F.col("__most")).otherwise(F.col("__least")))
+    return (plain.unionByName(numbered).where("__times > 0")
             .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int"))))
             .select(*docs.columns))
 

@@ -68,6 +68,8 @@ ADDED = (
 )
 RULES = BASE + ADDED
 VERSION = "4"
+#: Largest table of spans that is broadcast, and what a blob and a span take in it.
+BROADCAST_BYTES, BLOB_BYTES, SPAN_BYTES = 32 << 20, 160, 64
 
 
 def spans(text: Column, rule: Rule, order: int) -> Column:
@@ -122,17 +124,17 @@ def read_ledger(spark: SparkSession, ledger: str, version: str = VERSION) -> Dat
 def scan(docs: DataFrame, ledger: str, text: str = "text", rules=RULES, version: str = VERSION) -> DataFrame:
     """Bring the ledger up to date with ``docs`` and return its (blob, spans) rows.
 
-    One row per distinct unseen text is shuffled, deduplicated in each task first, so a text
-    that a third of all rows hold costs one row per task.
+    Spans are found in the text's own row; what is shuffled is one blob with its spans per
+    distinct unseen text and task, so no text moves, and one that a third of all rows hold
+    costs one row per task.
     """
     spark = docs.sparkSession
     fresh = docs.select(blob(text).alias("blob"), whole(text).alias("text"))
     known = read_ledger(spark, ledger, version)
     if known is not None:
         fresh = fresh.join(known.select("blob"), "blob", "left_anti")
-    fresh = fresh.dropDuplicates(["blob"])
     found = F.array_sort(F.concat(*[spans(F.col("text"), r, i) for i, r in enumerate(rules)]))
-    (fresh.select(F.lit(version).alias("rule_version"), "blob", found.alias("spans"))
+    (fresh.select(F.lit(version).alias("rule_version"), "blob", found.alias("spans")).dropDuplicates(["blob"])
      .write.mode("append").parquet(ledger))
     return read_ledger(spark, ledger, version)
 
@@ -153,9 +155,15 @@ def findings(docs: DataFrame, ledger: str, doc_id: str = "doc_id", text: str = "
 
 def redact(docs: DataFrame, ledger: str, text: str = "text", rules=RULES,
            version: str = VERSION, mark: str = "[secret]") -> DataFrame:
-    """``docs`` with every span replaced by ``mark``; overlapping spans are replaced together."""
+    """``docs`` with every span replaced by ``mark``; overlapping spans are replaced together.
+
+    Blobs with spans are few as a rule: up to BROADCAST_BYTES of them, counted first, are
+    broadcast and the texts stay where they are. More are joined by shuffle.
+    """
     hits = cut_lineage(scan(docs, ledger, text, rules, version).where(F.size("spans") > 0).select(
         F.col("blob").alias("__blob"), F.col("spans").alias("__spans")))
+    size = hits.agg(F.coalesce(F.sum(F.size("__spans") * SPAN_BYTES + BLOB_BYTES), F.lit(0))).first()[0]
+    hits = F.broadcast(hits) if size <= BROADCAST_BYTES else hits
     joined = docs.select(*docs.columns, blob(text).alias("__own")).join(
         hits, F.col("__own") == F.col("__blob"), "left")
     raw = F.col(text)

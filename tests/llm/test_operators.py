@@ -105,3 +105,21 @@ def test_quality_keeps_prose(spark):
 
 def test_stages_are_in_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "secrets", "mixing", "encoding"]
+
+
+def test_mix_takes_what_the_plan_holds(spark):
+    """Also for rows alike, of which only some are taken once more, and clashing columns."""
+    from collections import Counter
+    from pyspark.sql import functions as F
+    rows = ([(None, "one two three", None, 1)] * 60 + [(7, "a b", "s", 1)] * 40 + [(i, "w " * (i % 9), "s", 1) for i in range(50)]
+            + [(i, "x y", "t", 1) for i in range(30)] + [(None, None, "u", 1), (3, "", "u", 1)])
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
+    for ratio in (0.4, 1.5, 1.9):
+        held = Counter()
+        for r in mixing.plan(frame, ratio=ratio).collect():
+            held[r.doc_id, r.source, r.size] += r.repetitions
+        mixed = mixing.mix(frame, ratio=ratio)
+        assert mixed.columns == frame.columns
+        got = Counter((r.doc_id, r.source, len((r.text or "").split())) for r in mixed.collect())
+        assert got == +held
+    assert mixing.mix(frame.limit(0)).collect() == []
