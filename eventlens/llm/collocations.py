@@ -50,7 +50,7 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 #: Words in a broadcast dictionary (20 bytes each) and sequences in a broadcast trie.
 DICTIONARY, PHRASES = 4_000_000, 1_000_000
 #: Codes whose phrases a task sums at a time.
-CODES = 4_000_000
+CODES = 2_000_000
 WORD = classes(gaps=" \t", breaks=".,;:!?\n\x0b\x0c\r")
 
 

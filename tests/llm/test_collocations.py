@@ -54,7 +54,7 @@ def corpus():
     return docs + docs[:5]
 
 
-@pytest.mark.parametrize("dictionary, most", [(collocations.DICTIONARY, collocations.PHRASES), (0, 7), (collocations.DICTIONARY, 1)])
+@pytest.mark.parametrize("dictionary, most", [(collocations.DICTIONARY, collocations.PHRASES), (0, 250)])
 def test_phrases_equal_brute_force(spark, dictionary, most):
     docs = corpus()
     frame = spark.createDataFrame([(i, t, n, 1) for i, (n, t) in enumerate(docs)], "code long, text string, lang string, n int").repartition(5)
