@@ -30,7 +30,9 @@ from __future__ import annotations
 
 import operator
 from collections.abc import Callable, Iterator
+from functools import partial
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +47,9 @@ from eventlens.llm.token_store import Encoder
 
 MARK = "▁"
 #: Pieces that a worker remembers, and distinct pairs that are broadcast (16 bytes each).
-REMEMBERED, PAIRS = 200_000, 4_000_000
+REMEMBERED, PAIRS = 150_000, 4_000_000
+#: Pieces that are encoded as one text.
+TOGETHER = 512
 
 Sparse = tuple[np.ndarray, np.ndarray, np.ndarray]      # row borders, columns, values
 
@@ -132,6 +136,7 @@ class Aligner:
         self.bytes_b = Bytes([bytes([int(e[3:5], 16)]) if self.b.is_byte(i) else e.replace(MARK, " ").encode()
                               for i, e in enumerate(entries)])
         self.width_a, self.width_b = len(tokens), size
+        self.blank_b = np.array([e.startswith(MARK) for e in entries])
         self.names = [str(i) for i in range(max(len(tokens), size))]
         self.forget()
 
@@ -142,30 +147,70 @@ class Aligner:
         self.bad = np.zeros(0, bool)
         self.borders = np.zeros(1, np.int64)            # of the pairs of each piece
         self.pairs = self.times = np.zeros(0, np.int64)
-
-    def tokens(self, pieces: list[str]) -> tuple[list[np.ndarray], list[list[int]]]:
-        """Ids on both sides of a space and each piece."""
-        ids = [np.frombuffer(raw, "<u4").astype(np.int64) for raw in self.a.pieces(pieces)]
-        return ids, self.b.encode(pieces, num_threads=1)
+        self.uses = np.zeros(0, np.int64)
+
+    def thin_out(self) -> None:
+        """Forget the pieces that came only once since they were learnt or last kept."""
+        kept = np.flatnonzero(self.uses > 1)
+        if len(kept) > REMEMBERED:
+            return self.forget()
+        names = list(self.known)
+        self.known = {names[i]: n for n, i in enumerate(kept.tolist())}
+        self.text = [self.text[i] for i in kept.tolist()]
+        self.totals, self.bad, self.uses = self.totals[kept], self.bad[kept], np.ones(len(kept), np.int64)
+        size = np.diff(self.borders)[kept]
+        taken = ranges(self.borders[kept], size)
+        self.pairs, self.times = self.pairs[taken], self.times[taken]
+        self.borders = np.concatenate(([0], np.cumsum(size)))
+
+    def flat(self, pieces: list[str]):
+        """(ids, owner, table of bytes) of both sides, for a space and each piece. Pieces without
+        a space inside are encoded together: each begins with the next token that has a space
+        in front."""
+        plain = [p for p in pieces if p and " " not in p and MARK not in p]
+        rest = [p for p in pieces if not p or " " in p or MARK in p]
+        together = [" ".join(plain[i:i + TOGETHER]) for i in range(0, len(plain), TOGETHER)]
+        pieces[:] = plain + rest
+        encode_a = partial(self.a.tokenizer.encode_batch_fast, add_special_tokens=False)
+        sides = (([e.ids for e in encode_a([f" {t}" for t in together])], self.a.blank,
+                  [e.ids for e in encode_a([f" {p}" for p in rest])], self.bytes_a),
+                 (self.b.encode(together, num_threads=1), self.blank_b, self.b.encode(rest, num_threads=1), self.bytes_b))
+        for joined, blank, alone, of in sides:
+            ids = np.fromiter(chain.from_iterable(joined), np.int64)
+            owner = np.cumsum(blank[ids]) - 1
+            if len(owner) and owner[-1] != len(plain) - 1:
+                raise ValueError("a tokenizer does not begin anew at spaces")
+            count = np.array([len(x) for x in alone], np.int64)
+            yield (np.concatenate([ids, np.fromiter(chain.from_iterable(alone), np.int64)]),
+                   np.concatenate([owner, len(plain) + np.repeat(np.arange(len(rest)), count)]), of)
 
     def tile(self, pieces: list[str]):
-        """(ids, owner) of both sides and which pieces are bad; those have no tokens."""
-        found_a, found_b = self.tokens(pieces)
+        """(ids, owner) of both sides and which pieces are bad; those have no tokens. Puts the
+        pieces in the order of their numbers."""
+        sides = list(self.flat(pieces))
         raw = [f" {p}".encode() for p in pieces]
-        size = np.array([len(r) for r in raw], np.int64)
-        sides, bad = [], np.zeros(len(pieces), bool)
-        for found, of in ((found_a, self.bytes_a), (found_b, self.bytes_b)):
-            count = np.array([len(f) for f in found], np.int64)
-            ids = np.concatenate([np.asarray(f, np.int64) for f in found] or [np.zeros(0, np.int64)])
-            owner = np.repeat(np.arange(len(pieces)), count)
-            covered = np.bincount(owner, of.length[ids], len(pieces)).astype(np.int64)
-            bad |= covered != size
-            sides.append((ids, owner, of))
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        bad = np.zeros(len(pieces), bool)
+        for ids, owner, of in sides:
+            bad |= np.bincount(owner, of.length[ids], len(pieces)).astype(np.int64) != size
         kept = ~bad     # where the lengths agree, the bytes must too
-        true = np.frombuffer(b"".join(r for r, k in zip(raw, kept) if k), np.uint8)
+        true = np.frombuffer(b"".join(raw if kept.all() else [r for r, k in zip(raw, kept) if k]), np.uint8)
         for ids, owner, of in sides:
-            bad[np.repeat(np.flatnonzero(kept), size[kept])[of.join(ids[kept[owner]]) != true]] = True
-        return [(ids[~bad[owner]], owner[~bad[owner]]) for ids, owner, _ in sides], bad
+            differ = of.join(ids[kept[owner]]) != true
+            if differ.any():
+                bad[np.repeat(np.flatnonzero(kept), size[kept])[differ]] = True
+        if bad.any():
+            return [(ids[~bad[owner]], owner[~bad[owner]]) for ids, owner, _ in sides], bad
+        return [(ids, owner) for ids, owner, _ in sides], bad
+
+    def whole(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Both rows of ids of one text, without its pieces' being remembered."""
+        a = np.array(self.a.tokenizer.encode(f" {text}", add_special_tokens=False).ids if text else [], np.int64)
+        b = np.array(self.b.encode(text) if text else [], np.int64)
+        raw = np.frombuffer(f" {text}".encode() if text else b"", np.uint8)
+        if np.array_equal(self.bytes_a.join(a), raw) and np.array_equal(self.bytes_b.join(b), raw):
+            return a, b
+        return a[:0], b[:0]
 
     def learn(self, pieces: list[str]) -> None:
         if not pieces:
@@ -212,15 +257,16 @@ class Aligner:
     def __call__(self, texts: list[str]):
         """Totals (5 columns), digests, and (document, pair, times) of the texts."""
         pieces = [cut(t) if t else [] for t in texts]
-        new = set().union(*pieces).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED and self.known:
-            self.forget()
-            new = set().union(*pieces)
-        self.learn(list(new))
+        if len(self.known) > REMEMBERED:
+            self.thin_out()
+        self.learn(list(set().union(*pieces).difference(self.known)))
         count = np.array([len(p) for p in pieces], np.int64)
         owner = np.repeat(np.arange(len(texts)), count)
         flat = [c for p in pieces for c in map(self.known.__getitem__, p)]
         code = np.array(flat, np.int64)
+        uses = np.bincount(code, minlength=len(self.known))
+        uses[:len(self.uses)] += self.uses
+        self.uses = uses
         good = np.ones(len(texts), bool)
         good[owner[self.bad[code]]] = False
         good &= count > 0
@@ -337,9 +383,7 @@ def token_links(docs: DataFrame, first: str, second: str, doc_id: str = "doc_id"
         for part in parts(batches):
             rows = []
             for one in part.column("text").to_pylist():
-                ((a, _), (b, _)), bad = align.tile(cut(one) if one else [])
-                if bad.any():
-                    a = b = np.zeros(0, np.int64)
+                a, b = align.whole(one)
                 links = overlap(align.bytes_a.length[a], align.bytes_b.length[b])
                 group_a, group_b = groups(links, len(b)) if len(a) else (a, b)
                 from_a = np.repeat(np.arange(len(a)), np.diff(links[0]))
