@@ -11,7 +11,7 @@ Defined results
     null source: a source of its own, last in the order
     repeated rows, equal ids: each row is a document; rows alike in id and size are
     interchangeable, so the multiset of results is the same in each run
-    no rows, or only empty texts: targets are 0
+    no rows, or only empty texts: targets are 0; a source of empty texts gives nothing
     other columns, also such as ``size``: neither read nor changed by :func:`plan`;
     :func:`mix` returns the columns of its input and nothing else
 """
@@ -100,7 +100,8 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
                .rowsBetween(Window.unboundedPreceding, -1))
     starts = blocks.select(F.col("source").alias("s"), F.col("block").alias("b"),
                            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
-    whole = F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(math.floor(max_epochs)))
+    epochs = F.coalesce(F.try_divide(F.col("target"), F.col("source_size").cast("double")), F.lit(0.0))
+    whole = F.least(F.floor(epochs), F.lit(math.floor(max_epochs)))
     placed = starts.join(targets, F.col("s").eqNullSafe(F.col("source"))).select(
         "s", "b", "start", "source_size", "target",
         F.coalesce(whole, F.lit(0)).cast("long").alias("whole"))

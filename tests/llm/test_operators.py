@@ -121,5 +121,5 @@ def test_mix_takes_what_the_plan_holds(spark):
         mixed = mixing.mix(frame, ratio=ratio)
         assert mixed.columns == frame.columns
         got = Counter((r.doc_id, r.source, len((r.text or "").split())) for r in mixed.collect())
-        assert got == +held
+        assert got == +held and not any(source == "u" for _, source, _ in got)
     assert mixing.mix(frame.limit(0)).collect() == []
