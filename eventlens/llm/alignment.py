@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 from eventlens.session import cut_lineage
 from eventlens.llm.byte_words import parts
 from eventlens.llm.common import table, whole
-from eventlens.llm.pieces import cut
+from eventlens.llm.pieces import cut, ranges
 from eventlens.llm.token_counts import byte_symbols
 from eventlens.llm.token_store import Encoder
 
@@ -54,12 +54,6 @@ TOGETHER = 512
 Sparse = tuple[np.ndarray, np.ndarray, np.ndarray]      # row borders, columns, values
 
 
-def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """The numbers from each start, as many as its length."""
-    ends = np.cumsum(length)
-    return np.repeat(start - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
-
-
 def product(left: Sparse, right: Sparse, width: int) -> Sparse:
     """The product of two sparse matrices, the right one of ``width`` columns, by rows."""
     borders, columns, values = left

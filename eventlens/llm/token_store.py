@@ -7,8 +7,9 @@ and a scan reads stripes in parallel. ``seq`` is the place of a row: the file's
 high bits and the row within the file in the low 33.
 
 Texts are cut at single spaces between two non-blank characters. There the tokenizer always
-starts a new token, so the pieces have the ids that they have in the whole text, and each
-worker encodes a piece once as long as it remembers it.
+starts a new token, so the pieces have the ids that they have in the whole text. Arrow numbers
+the distinct pieces of some texts at a time, only these are looked up, and each worker encodes
+a piece, and a pre-token of new pieces, once as long as it remembers it.
 
 Defined results
     null or empty text: no ids but the end id
@@ -23,20 +24,31 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from eventlens.session import scratch_path
+from eventlens.session import cut_lineage, scratch_path
+from eventlens.llm.byte_words import parts
 from eventlens.llm.common import table, whole
-from eventlens.llm.pieces import AT_A_TIME, REMEMBERED, cut
+from eventlens.llm.pieces import PATTERN, REMEMBERED, cut, ranges
+from eventlens.llm.token_counts import byte_symbols
 
 END_ID = 2
 STORED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("seq", T.LongType()),
                        T.StructField("ids", T.ArrayType(T.IntegerType()))])
-_memory: dict[str, dict[str, bytes]] = {}
+#: Marks that follow words; a run of them is one pre-token.
+MARKS = ".,;:!?"
+# Blanks are all that Python takes for such, so a text that this does not match has none there.
+_BLANK = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+_ODD = rf"^{_BLANK}|{_BLANK}$| {_BLANK}|{_BLANK} "
+_encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
@@ -46,9 +58,16 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         vocabulary = self.tokenizer.get_vocab()
         self.blank = np.zeros(max(vocabulary.values()) + 1, bool)     # ids that begin with a space
         self.blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        added = [regex.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = regex.compile("|".join(added)) if added else None
+        self.pattern = regex.compile(PATTERN)
+        self.shown = "".join(byte_symbols())
+        self.known: dict[str, bytes] = {}       # pieces with a space before them
+        self.words: dict[str, bytes] = {}       # pre-tokens
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, "<u4") for e in
@@ -70,33 +89,97 @@ class Encoder:
         found.update(zip(rest, (i.tobytes() for i in self([f" {p}" for p in rest]))))
         return [found[p] for p in pieces]
 
-
-def encode(texts: list[str], encoder: Encoder, memory: dict[str, bytes], end_id: int) -> list[bytes]:
-    """Ids of each text with the end id, as little-endian 32-bit integers."""
-    pieces = [cut(t) for t in texts]
-    end = int(end_id).to_bytes(4, "little")
-    first = encoder([p[0] for p in pieces])
-    rest = [p[1:] for p in pieces]
-    new = list(set().union(*rest).difference(memory))
-    if len(memory) + len(new) > REMEMBERED:
-        memory.clear()
-        new = list(set().union(*rest))
-    memory.update(zip(new, encoder.pieces(new)))
-    return [f.tobytes() + b"".join(map(memory.__getitem__, r)) + end for f, r in zip(first, rest)]
+    def words_of(self, piece: str) -> list[str]:
+        """Pre-tokens of a piece with a space before it."""
+        letters = piece.rstrip(MARKS)
+        if letters.isascii() and letters.isalpha():
+            return [f" {letters}", piece[len(letters):]] if len(letters) < len(piece) else [f" {letters}"]
+        return self.pattern.findall(f" {piece}")
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Remember the ids of pre-tokens, by the tokenizer's own model."""
+        for word in words:
+            symbols = word.encode().decode("latin-1").translate(self.shown)
+            self.words[word] = array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+
+    def remembered(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, each with a space before it, as bytes. New ones are cut into
+        pre-tokens, and each new one of these goes once through the model; pieces with added
+        tokens go through the tokenizer."""
+        new = [p for p in pieces if p not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = pieces
+        if self.added and self.added.search("\n".join(new)):
+            special = [p for p in new if self.added.search(p)]
+            self.known.update(zip(special, (i.tobytes() for i in self([f" {p}" for p in special]))))
+            new = [p for p in new if p not in self.known]
+        split = [self.words_of(p) for p in new]
+        words = set(chain.from_iterable(split))
+        if len(self.words) + len(words) > REMEMBERED:
+            self.words.clear()
+        self.learn(words.difference(self.words))
+        of = self.words.__getitem__
+        self.known.update(zip(new, [of(w[0]) if len(w) == 1 else b"".join(map(of, w)) for w in split]))
+        return [self.known[p] for p in pieces]
+
+
+def encoder(path: str) -> Encoder:
+    """That of this worker, with what it remembers."""
+    return _encoders.get(path) or _encoders.setdefault(path, Encoder(path))
+
+
+def cut_all(texts: pa.Array) -> pa.Array:
+    """The pieces of each text, as :func:`pieces.cut` gives them. A text without blanks beside a
+    space or at its ends is cut at all spaces."""
+    texts = texts.cast(pa.large_string())
+    lists = pc.split_pattern(texts, " ")
+    odd = np.asarray(pc.match_substring_regex(texts, _ODD))
+    if not odd.any():
+        return lists
+    other = pa.array([cut(t) for t in texts.filter(pa.array(odd)).to_pylist()], lists.type)
+    place = np.arange(len(texts))
+    place[odd] = len(texts) + np.arange(len(other))
+    return pa.concat_arrays([lists, other]).take(pa.array(place))
+
+
+def encode(texts: pa.Array, encoder: Encoder, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """(borders, ids) of texts that are not null, each with the end id. Only the distinct pieces
+    are looked up; their ids are then taken by number."""
+    if not len(texts):
+        return np.zeros(1, np.int64), np.zeros(0, "<u4")
+    lists = cut_all(texts)
+    borders = np.asarray(lists.offsets).astype(np.int64)
+    coded = pc.list_flatten(lists).dictionary_encode()
+    first = borders[:-1]
+    code = np.asarray(coded.indices).astype(np.int64)
+    begins = pc.list_element(lists, 0).to_pylist()
+    rest = np.ones(len(code), bool)
+    rest[first - borders[0]] = False
+    used = np.zeros(len(coded.dictionary), bool)
+    used[code[rest]] = True
+    number = np.cumsum(used) - 1        # of the pieces that a space goes before
+    found = encoder.remembered(coded.dictionary.filter(pa.array(used)).to_pylist())
+    code = number[code]
+    code[first - borders[0]] = len(found) + np.arange(len(texts))
+    code = np.insert(code, borders[1:] - borders[0], len(found) + len(texts))
+    found += [i.tobytes() for i in encoder(begins)]
+    found.append(int(end_id).to_bytes(4, "little"))
+    size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    at = np.cumsum(size) - size
+    ids = np.frombuffer(b"".join(found), "<u4")[ranges(at[code], size[code])]
+    ends = np.cumsum(np.add.reduceat(size[code], first - borders[0] + np.arange(len(texts))))
+    return np.concatenate(([0], ends)), ids
 
 
 def encoding(path: str, end_id: int) -> Callable:
     """For mapInArrow: (doc_id, text) to (doc_id, ids)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, memory = Encoder(path), _memory.setdefault(path, {})
-        for batch in batches:
-            for start in range(0, batch.num_rows, AT_A_TIME):
-                part = batch.slice(start, AT_A_TIME)
-                rows = encode(part.column("text").to_pylist(), encoder, memory, end_id)
-                values = pa.array(np.frombuffer(b"".join(rows), "<i4"), pa.int32())
-                offsets = np.cumsum([0, *(len(r) // 4 for r in rows)], dtype=np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), values)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "ids"])
+        own = encoder(path)
+        for part in parts(batches):
+            borders, ids = encode(part.column("text"), own, end_id)
+            lists = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(ids.view("<i4"), pa.int32()))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "ids"])
     return run
 
 
@@ -139,7 +222,8 @@ def positions(stored: DataFrame) -> DataFrame:
     added up in order: no task sees more than the rows of one file.
     """
     rows = stored.mapInArrow(_digests, "doc_id long, seq long, n_tokens long, ids_crc32 long")
-    rows = rows.withColumn("file", F.shiftright("seq", 33))
+    # written once: the ids are read and digested for the sums and for the places in one pass
+    rows = cut_lineage(rows.withColumn("file", F.shiftright("seq", 33)))
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     bases = files.select(F.col("file").alias("f"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))

@@ -26,10 +26,13 @@ def test_token_counts_are_the_librarys():
 
 def test_stored_ids_are_the_librarys():
     encoder = token_store.Encoder(P.path("byte_bpe_50k.json"))
-    rows = token_store.encode(ODD, encoder, {}, 2)
-    for text, ids in zip(ODD, rows):
-        assert np.frombuffer(ids, "<u4").tolist() == [
-            *encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2]
+    texts = ODD + ["　wide \u2003 é́ ñ", " lead", "nul\x00 \x1c z", "end<|endoftext|>, ab!? ab,c. it's I'LL", *ODD]
+    for rows in (pa.array(texts), pa.array(["not this", *texts]).slice(1), pa.array(texts)):
+        borders, ids = token_store.encode(rows, encoder, 2)
+        for text, start, end in zip(texts, borders, borders[1:]):
+            assert ids[start:end].tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2]
+    borders, ids = token_store.encode(pa.array([], pa.string()), encoder, 2)
+    assert borders.tolist() == [0] and not len(ids)
 
 
 def test_cut_pieces_make_up_the_text():
