@@ -6,10 +6,10 @@ all files, so a lookup of documents skips files, stripes and row groups by their
 and a scan reads stripes in parallel. ``seq`` is the place of a row: the file's number in the
 high bits and the row within the file in the low 33.
 
-Texts are cut at single spaces between two non-blank characters. There the tokenizer always
-starts a new token, so the pieces have the ids that they have in the whole text. Arrow numbers
-the distinct pieces of some texts at a time, only these are looked up, and each worker encodes
-a piece, and a pre-token of new pieces, once as long as it remembers it.
+Texts are cut at single spaces between two non-blank characters, and where ASCII letters, marks
+and line feeds meet. There the tokenizer always starts a new token, so the pieces have the ids
+that they have in the whole text. Arrow numbers the distinct pieces of some texts at a time, only
+these are looked up, and each worker encodes a piece once as long as it remembers it.
 
 Defined results
     null or empty text: no ids but the end id
@@ -25,29 +25,32 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from eventlens.session import cut_lineage, scratch_path
 from eventlens.llm.byte_words import parts
 from eventlens.llm.common import table, whole
-from eventlens.llm.pieces import PATTERN, REMEMBERED, cut, ranges
+from eventlens.llm.pieces import PATTERN, REMEMBERED, ranges
 from eventlens.llm.token_counts import byte_symbols
 
 END_ID = 2
 STORED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("seq", T.LongType()),
                        T.StructField("ids", T.ArrayType(T.IntegerType()))])
-#: Marks that follow words; a run of them is one pre-token.
+#: Marks that end words; a run of them is a pre-token of its own.
 MARKS = ".,;:!?"
-# Blanks are all that Python takes for such, so a text that this does not match has none there.
-_BLANK = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
-_ODD = rf"^{_BLANK}|{_BLANK}$| {_BLANK}|{_BLANK} "
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+_KIND = np.zeros(256, np.uint8)         # 0: no cut beside it but at a space
+for _number, _characters in enumerate((_LETTERS, MARKS, "\n"), 1):
+    _KIND[[ord(c) for c in _characters]] = _number
+_ENDS = np.array([not chr(b).isspace() for b in range(128)] + [False] * 128)
+# blanks outside ASCII begin with one of these bytes
+_FOLLOWS = np.array([not chr(b).isspace() for b in range(128)] + [b not in (0xC2, 0xE1, 0xE2, 0xE3) for b in range(128, 256)])
 _encoders: dict[str, Encoder] = {}
 
 
@@ -62,12 +65,13 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.blank = np.zeros(max(vocabulary.values()) + 1, bool)     # ids that begin with a space
         self.blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-        added = [regex.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = regex.compile("|".join(added)) if added else None
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(c.isspace() or c in MARKS for t in added for c in t):
+            raise ValueError("added tokens with blanks or marks are not supported")
+        self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
         self.pattern = regex.compile(PATTERN)
         self.shown = "".join(byte_symbols())
-        self.known: dict[str, bytes] = {}       # pieces with a space before them
-        self.words: dict[str, bytes] = {}       # pre-tokens
+        self.known: dict[str, bytes] = {}       # ids of pieces and of pre-tokens
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, "<u4") for e in
@@ -89,39 +93,29 @@ class Encoder:
         found.update(zip(rest, (i.tobytes() for i in self([f" {p}" for p in rest]))))
         return [found[p] for p in pieces]
 
-    def words_of(self, piece: str) -> list[str]:
-        """Pre-tokens of a piece with a space before it."""
-        letters = piece.rstrip(MARKS)
-        if letters.isascii() and letters.isalpha():
-            return [f" {letters}", piece[len(letters):]] if len(letters) < len(piece) else [f" {letters}"]
-        return self.pattern.findall(f" {piece}")
-
-    def learn(self, words: Iterable[str]) -> None:
-        """Remember the ids of pre-tokens, by the tokenizer's own model."""
-        for word in words:
-            symbols = word.encode().decode("latin-1").translate(self.shown)
-            self.words[word] = array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
-
     def remembered(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces, each with a space before it, as bytes. New ones are cut into
-        pre-tokens, and each new one of these goes once through the model; pieces with added
-        tokens go through the tokenizer."""
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
+        """Ids of distinct pieces as bytes. What is new is cut into pre-tokens, and each new one
+        of these goes once through the tokenizer's own model; pieces with added tokens go through
+        the whole tokenizer."""
+        known = self.known
+        new = [p for p in pieces if p not in known]
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
             new = pieces
         if self.added and self.added.search("\n".join(new)):
             special = [p for p in new if self.added.search(p)]
-            self.known.update(zip(special, (i.tobytes() for i in self([f" {p}" for p in special]))))
-            new = [p for p in new if p not in self.known]
-        split = [self.words_of(p) for p in new]
-        words = set(chain.from_iterable(split))
-        if len(self.words) + len(words) > REMEMBERED:
-            self.words.clear()
-        self.learn(words.difference(self.words))
-        of = self.words.__getitem__
-        self.known.update(zip(new, [of(w[0]) if len(w) == 1 else b"".join(map(of, w)) for w in split]))
-        return [self.known[p] for p in pieces]
+            known.update(zip(special, (i.tobytes() for i in self(special))))
+            new = [p for p in new if p not in known]
+        single = [p for p in new if p.isascii() and (p.isalpha() or p[0] == " " and p[1:].isalpha())]
+        several = list(set(new).difference(single))
+        split = [self.pattern.findall(p) for p in several]
+        tokenize, shown = self.model.tokenize, self.shown
+        for word in {*single, *chain.from_iterable(split)}:
+            if word not in known:
+                tokens = tokenize(word.encode().decode("latin-1").translate(shown))
+                known[word] = array("I", [t.id for t in tokens]).tobytes()
+        known.update([(p, b"".join([known[w] for w in words])) for p, words in zip(several, split) if len(words) > 1])
+        return [known[p] for p in pieces]
 
 
 def encoder(path: str) -> Encoder:
@@ -129,18 +123,32 @@ def encoder(path: str) -> Encoder:
     return _encoders.get(path) or _encoders.setdefault(path, Encoder(path))
 
 
-def cut_all(texts: pa.Array) -> pa.Array:
-    """The pieces of each text, as :func:`pieces.cut` gives them. A text without blanks beside a
-    space or at its ends is cut at all spaces."""
+def pieces_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(pieces, borders): what the bytes of the texts are cut into, and where those of each text
+    begin. Cuts are at single spaces between two characters that are surely no blanks, and where
+    ASCII letters, MARKS and line feeds meet; a pre-token begins at each of them."""
     texts = texts.cast(pa.large_string())
-    lists = pc.split_pattern(texts, " ")
-    odd = np.asarray(pc.match_substring_regex(texts, _ODD))
-    if not odd.any():
-        return lists
-    other = pa.array([cut(t) for t in texts.filter(pa.array(odd)).to_pylist()], lists.type)
-    place = np.arange(len(texts))
-    place[odd] = len(texts) + np.arange(len(other))
-    return pa.concat_arrays([lists, other]).take(pa.array(place))
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    offsets, skipped = offsets - offsets[0], int(offsets[0])
+    n = int(offsets[-1])
+    data = np.frombuffer(texts.buffers()[2], np.uint8, n, skipped) if n else np.zeros(0, np.uint8)
+    begins = np.zeros(n + 1, bool)
+    kind = _KIND[data]
+    begins[1:-1] = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+    space = np.flatnonzero(data[1:-1] == 32) + 1
+    last, following = data[space - 1], data[space + 1]
+    before = _ENDS[last]
+    wide = np.flatnonzero(last >= 0x80)     # the first byte of a character tells whether it may be a blank
+    at = space[wide]
+    two, three, four = (data[np.maximum(at - k, 0)] for k in (2, 3, 4))
+    before[wide] = ((two >= 0xC3) & (two < 0xE0)) | ((two < 0xC0) & (
+        ((three >= 0xE4) & (three < 0xF0)) | ((three < 0xC0) & (four >= 0xF0))))
+    begins[space[before & _FOLLOWS[following]]] = True
+    begins[offsets] = True
+    starts = np.flatnonzero(begins)         # the end of the last text included
+    borders = np.searchsorted(starts, offsets)
+    pieces = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(data))
+    return pieces, borders
 
 
 def encode(texts: pa.Array, encoder: Encoder, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -148,27 +156,16 @@ def encode(texts: pa.Array, encoder: Encoder, end_id: int) -> tuple[np.ndarray,
     are looked up; their ids are then taken by number."""
     if not len(texts):
         return np.zeros(1, np.int64), np.zeros(0, "<u4")
-    lists = cut_all(texts)
-    borders = np.asarray(lists.offsets).astype(np.int64)
-    coded = pc.list_flatten(lists).dictionary_encode()
-    first = borders[:-1]
-    code = np.asarray(coded.indices).astype(np.int64)
-    begins = pc.list_element(lists, 0).to_pylist()
-    rest = np.ones(len(code), bool)
-    rest[first - borders[0]] = False
-    used = np.zeros(len(coded.dictionary), bool)
-    used[code[rest]] = True
-    number = np.cumsum(used) - 1        # of the pieces that a space goes before
-    found = encoder.remembered(coded.dictionary.filter(pa.array(used)).to_pylist())
-    code = number[code]
-    code[first - borders[0]] = len(found) + np.arange(len(texts))
-    code = np.insert(code, borders[1:] - borders[0], len(found) + len(texts))
-    found += [i.tobytes() for i in encoder(begins)]
-    found.append(int(end_id).to_bytes(4, "little"))
+    pieces, borders = pieces_of(texts)
+    coded = pieces.dictionary_encode()
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    found = [*encoder.remembered(distinct), int(end_id).to_bytes(4, "little")]
+    code = np.insert(np.asarray(coded.indices), borders[1:], len(found) - 1)
     size = np.fromiter(map(len, found), np.int64, len(found)) // 4
     at = np.cumsum(size) - size
-    ids = np.frombuffer(b"".join(found), "<u4")[ranges(at[code], size[code])]
-    ends = np.cumsum(np.add.reduceat(size[code], first - borders[0] + np.arange(len(texts))))
+    taken = size[code]
+    ids = np.frombuffer(b"".join(found), "<u4")[ranges(at[code], taken)]
+    ends = np.cumsum(taken)[borders[1:] + np.arange(len(texts))]
     return np.concatenate(([0], ends)), ids
 
 
