@@ -54,13 +54,13 @@ def _offsets(texts: pa.Array) -> np.ndarray:
 
 
 class Words:
-    """The words of ``texts`` in order, A-Z lower-cased.
+    """The words of ``texts`` in order, A-Z lower-cased unless ``lower`` is false.
 
     ``owner``, ``start``, ``end``: number of the text, and byte range in ``data``;
     ``begins``: whether the word is the first of its piece.
     """
 
-    def __init__(self, texts: pa.Array, table: np.ndarray):
+    def __init__(self, texts: pa.Array, table: np.ndarray, lower: bool = True):
         if texts.null_count:
             texts = texts.fill_null("")
         offsets = _offsets(texts)
@@ -68,7 +68,8 @@ class Words:
         n = last - first
         self.data = np.zeros(n + LONG, np.uint8)
         if n:
-            self.data[:n] = _LOWER[np.frombuffer(texts.buffers()[2], np.uint8, n, first)]
+            data = np.frombuffer(texts.buffers()[2], np.uint8, n, first)
+            self.data[:n] = _LOWER[data] if lower else data
         offsets = offsets - first
         kind = table[self.data[:n]]
         part = kind == PART

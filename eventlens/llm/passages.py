@@ -11,7 +11,8 @@ begin, and also those from each beginning of a sentence, which show some shorter
 
 From a window both texts are followed to where they stop being equal, on both sides; the
 result is that whole run of words. A run of a document and its first occurrence, which is
-that of the window, are one class; runs of a class that overlap in a document are one.
+that of the window, are one class; runs of a class that overlap in a document are one, and a
+class whose first occurrence lies within a copy of another class is a part of that.
 
 A class counts as repeated if it occurs in at least two documents, told apart by id and
 text. Its first occurrence, by document id and place, stays; the others are removals.
@@ -29,10 +30,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventlens.session import cut_lineage
+from eventlens.llm import byte_words
 from eventlens.llm.common import table, whole, word_count
 from eventlens.llm.near_dups import BROADCAST_ROWS, SIMILARITY, classes, fingerprint
 from eventlens.llm.pieces import AT_A_TIME
@@ -42,17 +43,59 @@ WINDOW = 32
 #: Of so many consecutive windows one is taken: equal runs of WINDOW + EVERY - 1 words share one.
 EVERY = 20
 ROWS, BANDS = 3, 8
+#: Window keys, a number each, that may be broadcast (32 MB of keys); more are joined by shuffle.
+BROADCAST_KEYS = 4_000_000
 #: Odd multiplier of the rolling hash, and its inverse modulo 2 ** 64.
 TURN = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+#: Blanks between words, as everywhere in this subpackage.
+_CLASSES = byte_words.classes(gaps=" \t\n\x0b\x0c\r")
+_STOP, _CLOSE = np.zeros(256, bool), np.zeros(256, bool)
+_STOP[list(b".!?")] = True
+_CLOSE[list(b"\"')]")] = True
+
+
 def least_of(keys: np.ndarray, owner: np.ndarray, every: int) -> np.ndarray:
     """Places of the least of every ``every`` consecutive keys of an owner, or of all its keys
-    if it has fewer. Of equal keys the last is taken, and stays while it is in reach."""
+    if it has fewer. Of equal keys the last is taken, and stays while it is in reach.
+
+    A key is taken if it is the greatest of the minima of the runs that hold it. Owners are
+    set apart by ``every`` - 1 empty slots, so that no run goes over an owner's end."""
     n = len(keys)
     if not n:
         return np.zeros(0, np.int64)
+    heads = np.concatenate(([0], np.flatnonzero(np.diff(owner)) + 1))
+    counts = np.diff(heads, append=n)
+    slot = np.arange(n) + np.repeat(np.arange(len(counts)) * (every - 1), counts)
+    low = np.full(int(slot[-1]) + every, np.iinfo(np.uint64).max, np.uint64)
+    low[slot] = keys
+    runs = slot[np.arange(n) <= np.repeat(np.maximum(heads, heads + counts - every), counts)]
+    high = np.zeros(len(low), np.uint64)
+    width = 1
+    while width < every:
+        step = min(width, every - width)
+        low[:-step] = np.minimum(low[:-step], low[step:])
+        width += step
+    high[runs] = low[runs]
+    width = 1
+    while width < every:
+        step = min(width, every - width)
+        high[step:] = np.maximum(high[step:], high[:-step])
+        width += step
+    taken = np.flatnonzero(keys == high[slot])
+    a, b = taken[:-1], taken[1:]
+    tied = np.unique(owner[a[(owner[a] == owner[b]) & (keys[a] == keys[b]) & (b - a < every)]])
+    if not len(tied):
+        return taken
+    at = np.flatnonzero(np.isin(owner, tied))
+    return np.sort(np.concatenate((taken[~np.isin(owner[taken], tied)], at[last_of_least(keys[at], owner[at], every)])))
+
+
+def last_of_least(keys: np.ndarray, owner: np.ndarray, every: int) -> np.ndarray:
+    """As :func:`least_of`, for owners whose runs have equal least keys."""
+    n = len(keys)
     ends = np.searchsorted(owner, owner, "right")
     first, last = np.arange(n), np.arange(n)     # of the least keys of the next ``width``
     width = 1
@@ -72,47 +115,53 @@ def least_of(keys: np.ndarray, owner: np.ndarray, every: int) -> np.ndarray:
     return np.unique(last[full])
 
 
+def ends_sentence(found: byte_words.Words) -> np.ndarray:
+    """Whether a word ends with one of .!? and perhaps closing quotes and brackets."""
+    at = found.end - 1
+    if _CLOSE[found.data[at]].any():
+        n = int(found.end[-1])
+        at = np.maximum.accumulate(np.where(_CLOSE[found.data[:n]], -1, np.arange(n)))[at]
+    return (at >= found.start) & _STOP[found.data[at]]
+
+
 def windows_of(texts: pa.Array, size: int, every: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(owner, place, hash) of the windows of ``size`` words that begin with a sentence, and of
     the least of every ``every`` consecutive ones."""
-    owner, code, dictionary, hashes = words_of(texts)
-    ends = np.asarray(pc.match_substring_regex(dictionary, r"[.!?][\"')\]]*$"))
-    n = len(owner)
+    found = byte_words.Words(texts, _CLASSES, lower=False)
+    owner, n = found.owner, len(found)
     if n < size:
-        return owner[:0], owner[:0], hashes[:0]
-    word = hashes[code]
+        return owner[:0], owner[:0], np.zeros(0, np.uint64)
+    word = found.hashes()[0]
     powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, TURN))))
     backs = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, BACK))))
     sums = np.concatenate(([np.uint64(0)], np.cumsum(word * powers[:-1])))
     begins = np.ones(n, bool)
-    begins[1:] = ends[code[:-1]] | (owner[1:] != owner[:-1])
-    inside = owner[:n - size + 1] == owner[size - 1:]
-    taken = begins[:n - size + 1] & inside
+    begins[1:] = ends_sentence(found)[:-1] | (owner[1:] != owner[:-1])
+    inside = np.flatnonzero(owner[:n - size + 1] == owner[size - 1:])
+    keys = mix((sums[inside + size] - sums[inside]) * backs[inside])
+    taken = begins[inside]
     if every:
-        at = np.flatnonzero(inside)
-        taken[at[least_of(mix((sums[at + size] - sums[at]) * backs[at]), owner[at], every)]] = True
-    at = np.flatnonzero(taken)
-    first = np.searchsorted(owner, owner[at])
-    return owner[at], at - first, mix((sums[at + size] - sums[at]) * backs[at])
+        taken[least_of(keys, owner[inside], every)] = True
+    at = inside[taken]
+    return owner[at], at - np.searchsorted(owner, owner[at]), keys[taken]
 
 
 def windows(size: int, every: int) -> Callable:
-    """For mapInArrow: (doc, text) to (key, doc, place)."""
+    """For mapInArrow: (id, hash, text) to (key, id, hash, place)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, AT_A_TIME):
-                part = batch.slice(start, AT_A_TIME)
-                owner, place, key = windows_of(part.column("text"), size, every)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), part.column("doc").take(pa.array(owner)), pa.array(place, pa.int64())],
-                    ["key", "doc", "place"])
+        for part in byte_words.parts(batches):
+            owner, place, key = windows_of(part.column("text"), size, every)
+            own = pa.array(owner)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.view(np.int64)), part.column("id").take(own), part.column("hash").take(own),
+                 pa.array(place, pa.int64())], ["key", "id", "hash", "place"])
     return run
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Written, and marked for broadcast if it has at most BROADCAST_ROWS rows."""
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Written, and marked for broadcast if it has at most so many rows."""
     df = cut_lineage(df)
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def repeated_paragraphs(docs: DataFrame, least: int | None, size: int, similarity: float, rows: int, n_bands: int) -> DataFrame:
@@ -159,8 +208,18 @@ def equal_spans(a: np.ndarray, b: np.ndarray, anchors: list[tuple[int, int]], wi
     return found
 
 
+def along(a: np.ndarray, b: np.ndarray, shift: int, lo: int, hi: int, window: int) -> list[tuple[int, int]]:
+    """The first anchors of the equal runs of ``window`` words or more that meet the places
+    ``lo`` to ``hi`` of ``a`` and those ``shift`` before in ``b``."""
+    equal = np.zeros(hi + window - lo + 2, np.int8)
+    equal[1:-1] = a[lo:hi + window] == b[lo - shift:hi + window - shift]
+    turns = np.diff(equal)
+    begin, end = np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)
+    return [(lo + x, lo + x - shift) for x in begin[end - begin >= window].tolist()]
+
+
 def extending(window: int) -> Callable:
-    """For mapInArrow: (doc, first_doc, own, anchors, text, first_text) to the equal spans. In
+    """For mapInArrow: (doc, first_doc, own, shifts, text, first_text) to the equal spans. In
     one document the window that is the first stays, also where spans overlap with themselves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,9 +230,10 @@ def extending(window: int) -> Callable:
                 cuts = np.searchsorted(owner, np.arange(len(both.dictionary) + 1))
                 texts = [word[i:j] for i, j in zip(cuts[:-1], cuts[1:])]
                 code, rows = np.asarray(both.indices), []
-                for i, (own, anchors) in enumerate(zip(part.column("own").to_pylist(), part.column("anchors").to_pylist())):
-                    pairs = [(x["place"], x["first_place"]) for x in anchors]
-                    for begin, end, first in equal_spans(texts[code[i]], texts[code[part.num_rows + i]], pairs, window):
+                for i, (own, shifts) in enumerate(zip(part.column("own").to_pylist(), part.column("shifts").to_pylist())):
+                    a, b = texts[code[i]], texts[code[part.num_rows + i]]
+                    anchors = [x for s in shifts for x in along(a, b, s["shift"], s["lo"], s["hi"], window)]
+                    for begin, end, first in equal_spans(a, b, anchors, window):
                         kept = max(0, first + window - begin) if own else 0
                         if begin + kept < end:
                             rows.append((i, begin + kept, end, first + kept))
@@ -184,52 +244,92 @@ def extending(window: int) -> Callable:
     return run
 
 
-def merged(spans: DataFrame, *by: str) -> DataFrame:
-    """``by``, start, end: overlapping spans of a group put together. Equal spans are one
-    before the shuffle."""
-    step = F.aggregate(
-        F.array_sort("spans"), F.array().cast("array<struct<start:bigint,end:bigint>>"),
-        lambda out, x: F.when((F.size(out) > 0) & (x["start"] < F.element_at(out, -1)["end"]), F.concat(
-            F.slice(out, 1, F.size(out) - 1),
-            F.array(F.struct(F.element_at(out, -1)["start"].alias("start"),
-                             F.greatest(F.element_at(out, -1)["end"], x["end"]).alias("end")))))
-        .otherwise(F.concat(out, F.array(x))))
-    return (spans.groupBy(*by).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-            .select(*by, F.explode(step).alias("s")).select(*by, "s.start", "s.end"))
+def joined_spans(spans: DataFrame, *by: str) -> DataFrame:
+    """``by``, start, end, whole: the spans of a group, one for each start, and the start of the
+    run of overlapping spans that each is a part of. Spans of one start are one before the
+    shuffle, so a group has no more rows than its document has words."""
+    one = spans.groupBy(*by, "start").agg(F.max("end").alias("end"))
+    order = Window.partitionBy(*by).orderBy("start")
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(reached.isNull() | (F.col("start") >= reached), F.col("start"))
+    return one.withColumn("begins", begins).select(*by, "start", "end", F.last("begins", True).over(
+        order.rowsBetween(Window.unboundedPreceding, 0)).alias("whole"))
 
 
 def repeated_windows(docs: DataFrame, window: int, every: int) -> DataFrame:
-    """The same for passages, with start and end. Keys of all windows are shuffled once, with
-    the least and the greatest document that a task saw; only rows of keys in two documents
-    are made again. Each pair of a document and the first one meets with both texts once."""
-    rows = docs.mapInArrow(windows(window, every), "key long, doc struct<id:bigint,text:bigint>, place long")
-    again = small(rows.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"),
-                                          F.min(F.struct("doc", "place")).alias("first"))
-                  .where("lo <> hi").select("key", "first"))
-    found = rows.join(again, "key").select("doc", "place", F.col("first.doc").alias("first_doc"),
-                                           F.col("first.place").alias("first_place"))
-    # a place is there once for each repeated row, and as the first of its own key
-    pairs = cut_lineage(found.where("doc <> first_doc OR place <> first_place").groupBy("doc", "first_doc").agg(
-        F.collect_set(F.struct("place", "first_place")).alias("anchors")))
+    """The same for passages, with start and end.
+
+    Windows are made and written once. The keys that two documents have come from a hash
+    aggregate; only their windows go on, as the least and greatest place of each document, first
+    document and shift between the places, so a long copy is one row. Each pair of a document
+    and the first one meets with both texts once.
+    """
+    made = cut_lineage(docs.select("doc.id", F.col("doc.text").alias("hash"), "text").mapInArrow(
+        windows(window, every), "key long, id long, hash long, place long"))
+    own = F.xxhash64("id", "hash")
+    again = small(made.groupBy("key").agg(F.min(own).alias("lo"), F.max(own).alias("hi")).where("lo <> hi").select("key"),
+                  BROADCAST_KEYS)
+    found = cut_lineage(made.join(again, "key").select(
+        "key", F.struct("id", F.col("hash").alias("text")).alias("doc"), "place"))
+    first = small(found.groupBy("key").agg(F.min(F.struct("doc", "place")).alias("first")))
+    shifts = found.join(first, "key").select("doc", "place", F.col("first.doc").alias("first_doc"),
+                                             (F.col("place") - F.col("first.place")).alias("shift")
+                                             ).where("doc <> first_doc OR shift <> 0")
+    shifts = shifts.groupBy("doc", "first_doc", "shift").agg(F.min("place").alias("lo"), F.max("place").alias("hi"))
+    pairs = cut_lineage(shifts.groupBy("doc", "first_doc").agg(F.collect_list(F.struct("shift", "lo", "hi")).alias("shifts")))
     needed = small(pairs.select("doc").union(pairs.select("first_doc")).distinct())
     texts = cut_lineage(docs.join(needed, "doc", "left_semi").dropDuplicates(["doc"]))
     full = (pairs.join(texts.select(F.col("doc").alias("first_doc"), F.col("text").alias("first_text")), "first_doc")
-            .join(texts, "doc").select("doc", "first_doc", F.expr("doc = first_doc").alias("own"), "anchors", "text", "first_text"))
+            .join(texts, "doc").select("doc", "first_doc", F.expr("doc = first_doc").alias("own"), "shifts", "text", "first_text"))
     document = "struct<id:bigint,text:bigint>"
     spans = cut_lineage(full.mapInArrow(
         extending(window), f"doc {document}, first_doc {document}, start long, end long, first_start long"))
 
-    # a class: a merged span of a first document and what is equal to parts of it
-    first = merged(spans.select(F.col("first_doc").alias("doc"), F.col("first_start").alias("start"),
-                                (F.col("first_start") + F.col("end") - F.col("start")).alias("end")), "doc")
-    first = small(first.withColumn("class_id", F.concat(F.lit("w"), F.xxhash64("doc.id", "doc.text"), F.lit(":"), "start")))
-    of = first.select(F.col("doc").alias("first_doc"), F.col("start").alias("first_place"), F.col("end").alias("till"), "class_id")
-    placed = spans.join(of, "first_doc").where("first_start >= first_place AND first_start < till")
-    copies = merged(placed, "doc", "class_id", "first_doc", "first_place")
-    kept = first.select("doc", "class_id", F.col("doc").alias("first_doc"), F.col("start").alias("first_place"), "start", "end")
-    return kept.withColumn("removed", F.lit(False)).unionByName(copies.withColumn("removed", F.lit(True))).select(
-        "doc", F.col("start").alias("place"), F.expr("end - start").alias("n_words"), "class_id", "first_doc", "first_place",
-        "start", "end", "removed")
+    ends = F.col("first_start") + F.col("end") - F.col("start")
+    parts = cut_lineage(joined_spans(spans.select("first_doc", F.col("first_start").alias("start"), ends.alias("end")), "first_doc")
+                        .select("first_doc", "start", "end", _class("first_doc", "whole").alias("class")))
+    of = small(parts.select("first_doc", F.col("start").alias("first_start"), "class"))
+    copies = cut_lineage(joined_spans(spans.join(of, ["first_doc", "first_start"]), "doc", "class")
+                         .groupBy("doc", "class", "whole").agg(F.max("end").alias("end"))
+                         .select("doc", "class", F.col("whole").alias("start"), "end"))
+    kept = cut_lineage(parts.groupBy("class").agg(F.max("end").alias("end")))
+    earlier = small(earlier_classes(kept, copies))
+    kept = kept.join(earlier, "class", "left_anti").select(
+        F.col("class.doc").alias("doc"), "class", F.col("class.place").alias("start"), "end", F.lit(False).alias("removed"))
+    copies = joined_spans(copies.join(earlier, "class", "left").withColumn("class", F.coalesce("earlier", "class")), "doc", "class")
+    copies = copies.groupBy("doc", "class", "whole").agg(F.max("end").alias("end")).select(
+        "doc", "class", F.col("whole").alias("start"), "end", F.lit(True).alias("removed"))
+    name = F.concat(F.lit("w"), F.xxhash64("class.doc.id", "class.doc.text"), F.lit(":"), F.col("class.place"))
+    return kept.unionByName(copies).select(
+        "doc", F.col("start").alias("place"), F.expr("end - start").alias("n_words"), name.alias("class_id"),
+        F.col("class.doc").alias("first_doc"), F.col("class.place").alias("first_place"), "start", "end", "removed")
+
+
+def _class(doc: str, place: str) -> Column:
+    """A class is named by the document and place of its first occurrence."""
+    return F.struct(F.col(doc).alias("doc"), F.col(place).alias("place"))
+
+
+def earlier_classes(kept: DataFrame, copies: DataFrame) -> DataFrame:
+    """(class, earlier) of the classes whose first occurrence is within a copy of another class.
+
+    Which windows are taken near the ends of a passage depends on the words around it, so a
+    window may be missing in the passage's first document and have another first one. The
+    copies go over to the class whose copy holds that one; its document is an earlier one, so
+    there are no circles, and doubling the steps follows chains.
+    """
+    both = copies.where("doc <> class.doc").select("doc", "start", "end", "class", F.lit(False).alias("own")).unionByName(
+        kept.select("class.doc", F.col("class.place").alias("start"), "end", "class", F.lit(True).alias("own")))
+    before = Window.partitionBy("doc").orderBy("start", "own").rowsBetween(Window.unboundedPreceding, 0)
+    longest = F.max(F.when(~F.col("own"), F.struct("end", F.col("class").alias("of")))).over(before)
+    up = cut_lineage(both.withColumn("longest", longest).where("own AND longest.end >= end")
+                     .select("class", F.col("longest.of").alias("earlier")))
+    while True:
+        far = up.join(up.select(F.col("class").alias("earlier"), F.col("earlier").alias("next")), "earlier", "left")
+        up = cut_lineage(far.select("class", F.coalesce("next", "earlier").alias("earlier"), F.col("next").isNotNull().alias("moved")))
+        if up.where("moved").isEmpty():
+            return up.select("class", "earlier")
+        up = up.select("class", "earlier")
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int | None = None, window: int = WINDOW,
