@@ -44,12 +44,12 @@ BLOCK, TOGETHER = 1024, 1024
 WIDTH = 8192
 
 
-def signing(size: int, rows: int, n_bands: int) -> Callable:
+def signing(size: int, rows: int, n_bands: int, at_a_time: int = AT_A_TIME) -> Callable:
     """For mapInArrow: (fp, text) to (fp, n_shingles, bands); texts without words are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, AT_A_TIME):
-                part = batch.slice(start, AT_A_TIME)
+            for start in range(0, batch.num_rows, at_a_time):
+                part = batch.slice(start, at_a_time)
                 owner, value = shingles(part.column("text"), size)
                 n = np.bincount(owner, minlength=part.num_rows)
                 keys = bands(signatures(part.num_rows, *bags(owner, value), rows * n_bands), rows)
@@ -187,14 +187,14 @@ def fingerprint(text: str):
 
 
 def classes(docs: DataFrame, text: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY,
-            rows: int = ROWS, n_bands: int = BANDS) -> DataFrame:
+            rows: int = ROWS, n_bands: int = BANDS, at_a_time: int = AT_A_TIME) -> DataFrame:
     """(fp, n_shingles, component) for each distinct text with words; written.
 
     Signatures are made in one pass and one row per distinct text is shuffled; after that
     only band keys move, and the texts of nodes that share a bucket with others.
     """
     source = docs.select(fingerprint(text).alias("fp"), whole(text).alias("text"))
-    signed = source.mapInArrow(signing(size, rows, n_bands), "fp string, n_shingles long, bands array<long>")
+    signed = source.mapInArrow(signing(size, rows, n_bands, at_a_time), "fp string, n_shingles long, bands array<long>")
     nodes = cut_lineage(signed.dropDuplicates(["fp"]).withColumn("node", F.monotonically_increasing_id()))
     keys = nodes.select("node", F.explode("bands").alias("key"))
     shared = cut_lineage(keys.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n"))

@@ -1,13 +1,16 @@
 """Repeated paragraphs and passages across documents.
 
-Paragraphs (lines of as many words as a shingle has, five, or more) are compared by the MinHash bands, exact Jaccard
-check and components of ``near_dups``, with bands tuned for recall: 8 bands of 3 places find
-a pair at 0.8 with a probability of 0.997, and equal paragraphs always; equal lines are one
-row before that. ``least`` sets a greater least length; by default there is none. A passage inside a
-paragraph has other neighbours in each document, so no paragraph shows it; windows of 32
-words do, and equal windows are one class. Taken are the window with the least hash of every
-20 consecutive ones (winnowing), so that equal runs of 51 words share a window wherever they
-begin, and also those from each beginning of a sentence, which show some shorter runs.
+Paragraphs (lines of as many words as a shingle has, five, or more) are compared by the
+MinHash bands, exact Jaccard check and components of ``near_dups``, with bands tuned for
+recall: 8 bands of 3 places find a pair at 0.8 with a probability of 0.997, and equal
+paragraphs always. Each line is signed in its task, and one row of equal lines goes on.
+``least`` sets a greater least length; by default there is none.
+
+A passage inside a paragraph has other neighbours in each document, so no paragraph shows it;
+windows of 32 words do, and equal windows are one class. Taken are the window with the least
+hash of every 20 consecutive ones (winnowing), so that equal runs of 51 words share a window
+wherever they begin, and also those from each beginning of a sentence, which show some
+shorter runs.
 
 From a window both texts are followed to where they stop being equal, on both sides; the
 result is that whole run of words. A run of a document and its first occurrence, which is
@@ -43,6 +46,8 @@ WINDOW = 32
 #: Of so many consecutive windows one is taken: equal runs of WINDOW + EVERY - 1 words share one.
 EVERY = 20
 ROWS, BANDS = 3, 8
+#: Lines that a worker signs at a time; they are short.
+LINES_AT_A_TIME = 4096
 #: Window keys, a number each, that may be broadcast (32 MB of keys); more are joined by shuffle.
 BROADCAST_KEYS = 4_000_000
 #: Odd multiplier of the rolling hash, and its inverse modulo 2 ** 64.
@@ -168,17 +173,17 @@ def repeated_paragraphs(docs: DataFrame, least: int | None, size: int, similarit
     """(doc, place, n_words, class_id, first_doc, first_place) for (doc, text)."""
     lines = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(
         word_count("line") >= max(size, least or 0))
-    found = classes(cut_lineage(lines.select("line").distinct()), "line", size, similarity, rows, n_bands)
+    found = classes(lines.select("line"), "line", size, similarity, rows, n_bands, LINES_AT_A_TIME)
     units = lines.select(fingerprint("line").alias("fp"), "doc", F.col("place").cast("long").alias("place"),
                          word_count("line").alias("n_words"))
-    by_text = units.groupBy("fp").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"),
-                                      F.min(F.struct("doc", "place")).alias("first"))
+    by_text = units.select("fp", F.xxhash64("doc").alias("own")).groupBy("fp").agg(F.min("own").alias("lo"), F.max("own").alias("hi"))
     known = cut_lineage(by_text.join(found.select("fp", "component"), "fp"))
-    again = known.groupBy("component").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("first").alias("first")
-                                           ).where("lo <> hi").select("component", "first")
+    again = known.groupBy("component").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("component")
     again = small(known.select("fp", "component").join(small(again), "component"))
-    return units.join(again, "fp").select("doc", "place", "n_words", F.concat(F.lit("p"), "component").alias("class_id"),
-                                          F.col("first.doc").alias("first_doc"), F.col("first.place").alias("first_place"))
+    again = cut_lineage(units.join(again, "fp").select("doc", "place", "n_words", "component"))
+    first = small(again.groupBy("component").agg(F.min(F.struct("doc", "place")).alias("first")))
+    return again.join(first, "component").select("doc", "place", "n_words", F.concat(F.lit("p"), "component").alias("class_id"),
+                                                 F.col("first.doc").alias("first_doc"), F.col("first.place").alias("first_place"))
 
 
 def run(a: np.ndarray, b: np.ndarray) -> int:
