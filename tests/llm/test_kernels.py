@@ -1,6 +1,7 @@
 """The array kernels against brute force; no Spark."""
 
 import collections
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -114,6 +115,34 @@ def test_least_of_every_run_is_taken():
             assert len(taken) < 12
 
 
+def test_taken_keys_are_those_of_the_plain_scan():
+    rng = np.random.default_rng(6)
+    for top in (2, 9, 10**9):
+        owner = np.repeat([0, 2, 3, 7], rng.integers(1, 90, 4))
+        keys = rng.integers(0, top, len(owner)).astype(np.uint64)
+        assert passages.least_of(keys, owner, 20).tolist() == passages.last_of_least(keys, owner, 20).tolist()
+
+
+def test_sentences_end_as_the_pattern_says():
+    text = 'One two. three?") four) ) ." x.y end!\' "q" [a.] .) é. 東京。'
+    found = passages.byte_words.Words(pa.array([text, "", "a.b c.'"]), passages._CLASSES, lower=False)
+    words = [w for t in (text, "a.b c.'") for w in t.split()]
+    assert passages.ends_sentence(found).tolist() == [bool(re.search(r"""[.!?]["')\]]*$""", w)) for w in words]
+
+
+def test_anchors_along_a_shift():
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        a, b = rng.integers(0, 2, 90), rng.integers(0, 2, 80)
+        a[10:30] = b[4:24]
+        a[40:70] = b[34:64]
+        lo, hi, shift, window = 12, 55, 6, 8
+        got = passages.along(a, b, shift, lo, hi, window)
+        same = [a[x] == b[x - shift] for x in range(lo, hi + window)]
+        want = [lo + i for i in range(len(same) - window + 1) if all(same[i:i + window]) and (i == 0 or not same[i - 1])]
+        assert [x for x, _ in got] == want and all(x - y == shift for x, y in got)
+
+
 def test_warc_records_are_read_back_and_skipped():
     rows = [{c: None for c in warc.COLUMNS} | {"record_type": k, "record_id": f"<urn:page:{i}>", "payload": p,
                                                "payload_length": 12, "target_uri": "http://a/\r\nX: y"}
