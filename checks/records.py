@@ -106,8 +106,8 @@ def key_violations(spark, sf):
 
 @query("select doc_id, text, lang from documents")
 def csv_split(spark, sf):
-    """Texts with line ends through one CSV file, which is read by blocks."""
+    """Texts with line ends through CSV files, one for each split of the table, which are read by blocks."""
     schema = T.StructType([f for f in DOCUMENTS if f.name in ("doc_id", "text", "lang")])
     path = scratch_path(spark, "csv")
-    connectors.write_csv(read_table(spark, sf, "documents").select(*schema.names).coalesce(1), path)
+    connectors.write_csv(read_table(spark, sf, "documents").select(*schema.names), path)
     return read_csv_split(spark, path, schema)
