@@ -5,6 +5,8 @@ files in order of time, a micro-batch each, and a closing row later than all win
 return every window and are checked against the batch SQL as it is.
 """
 
+import math
+
 from pyspark.sql import functions as F, types as T
 
 from checks.records import PROPS
@@ -100,10 +102,11 @@ from read group by 1""")
 def stream_quarantine(spark, sf):
     """Records and prose in one stream: it goes on, and both sides together hold every row."""
     wire = scratch_path(spark, "wire")
-    (read_table(spark, sf, "events").select(F.col("props").alias("value"))
-     .unionByName(read_table(spark, sf, "documents").select(F.col("text").alias("value")))
-     .repartition(4, "value").write.parquet(wire))
-    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", "2").parquet(wire)
+    values = (read_table(spark, sf, "events").select(F.col("props").alias("value"))
+              .unionByName(read_table(spark, sf, "documents").select(F.col("text").alias("value"))))
+    values.write.parquet(wire)      # a file for each split of the tables, half of them in a micro-batch
+    half = str(max(math.ceil(values.rdd.getNumPartitions() / 2), 1))
+    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", half).parquet(wire)
     good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
     jobs.start_decoding(stream, PROPS, good, bad, scratch_path(spark, "decoding-progress"), ONCE).awaitTermination()
     number = T.StructField("batch_id", T.LongType())
