@@ -36,6 +36,11 @@ def test_counts(docs):
     assert {(r.a, r.b): r.n_ab for r in corpus._pair_counts(docs, "tokens").collect()} == pairs
 
 
+def test_the_empty_token_is_in_no_document(spark):
+    docs = spark.createDataFrame([(["", "a", ""],), (["a"],), (["b", ""],)], "tokens array<string>")
+    assert {tuple(r) for r in corpus.vocabulary(docs).collect()} == {("", 0, 3), ("a", 2, 2), ("b", 1, 1)}
+
+
 def test_bigrams_in_the_row(spark, docs):
     table = spark.createDataFrame(PAIRS, "a string, b string")
     twice = docs.union(docs.where("id = 'd7'"))     # a key that repeats
