@@ -87,3 +87,19 @@ def test_each_document_is_inferred_once(spark):
         settings=topic_model.Training(topics=2, passes=2, optimizer="em"))
     found = artefact.classified_messages(messages, whole, spark.createDataFrame([("0", "t0", ""), ("1", "t1", "")], "id string, topic string, topic_weigh string"))
     assert not filters(found) and [r.message_id for r in found.collect()] == ["a"]
+
+
+@pytest.mark.parametrize("allowed", [("X",), None])
+def test_a_large_lexicon_is_looked_up_by_block(spark, docs, monkeypatch, allowed):
+    table = spark.createDataFrame([("a", "A", "X"), ("b", None, "X"), ("c", "C", "Y"), ("d", "", "X"), (None, "no", "X")],
+                                  "surface string, lemma string, pos string")
+    own = docs.where("id IS NOT NULL").select("id", "tokens")
+    want = {r.id: r.tokens for r in corpus.lemmas(own, table, "id", allowed_pos=allowed).collect()}
+    monkeypatch.setattr(corpus, "MAX_BROADCAST_ROWS", 2)
+    monkeypatch.setattr(corpus, "BLOCK_TOKENS", 40)
+
+    def by_token(*_):
+        raise AssertionError("every token is shuffled")
+    monkeypatch.setattr(corpus, "_lemmas_by_join", by_token)
+    found = corpus.lemmas(own, table, "id", allowed_pos=allowed).collect()
+    assert {r.id: r.tokens for r in found} == want and len(found) == len(want)
