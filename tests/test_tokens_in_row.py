@@ -103,3 +103,18 @@ def test_a_large_lexicon_is_looked_up_by_block(spark, docs, monkeypatch, allowed
     monkeypatch.setattr(corpus, "_lemmas_by_join", by_token)
     found = corpus.lemmas(own, table, "id", allowed_pos=allowed).collect()
     assert {r.id: r.tokens for r in found} == want and len(found) == len(want)
+
+
+# with a prior learnt below one, the random start decides between optima of a document
+@pytest.mark.parametrize("optimizer, near", [("em", 1e-6), ("online", 1e-3)])
+def test_perplexity_is_sparks_without_its_matrix_for_each_document(spark, monkeypatch, optimizer, near):
+    docs = spark.createDataFrame([(f"m{i}", [random.choice("abcde" if i % 2 else "defghi") for _ in range(i % 30)]) for i in range(120)],
+                                 "id string, tokens array<string>")
+    model = topic_model.train(docs, "id", topic_model.Training(topics=3, passes=3, chunk=60, optimizer=optimizer))
+    lda = model.stages[-1]
+    want = lda.logPerplexity(model.stages[0].transform(docs))
+
+    def by_document(*_):
+        raise AssertionError("the matrix of words once for each document")
+    monkeypatch.setattr(type(lda), "logPerplexity", by_document)
+    assert topic_model.log_perplexity(docs, model) == pytest.approx(want, rel=near)
