@@ -174,8 +174,8 @@ def repeated_paragraphs(docs: DataFrame, least: int | None, size: int, similarit
     lines = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(
         word_count("line") >= max(size, least or 0))
     found = classes(lines.select("line"), "line", size, similarity, rows, n_bands, LINES_AT_A_TIME)
-    units = lines.select(fingerprint("line").alias("fp"), "doc", F.col("place").cast("long").alias("place"),
-                         word_count("line").alias("n_words"))
+    units = cut_lineage(lines.select(fingerprint("line").alias("fp"), "doc", F.col("place").cast("long").alias("place"),
+                                     word_count("line").alias("n_words")))    # read twice
     by_text = units.select("fp", F.xxhash64("doc").alias("own")).groupBy("fp").agg(F.min("own").alias("lo"), F.max("own").alias("hi"))
     known = cut_lineage(by_text.join(found.select("fp", "component"), "fp"))
     again = known.groupBy("component").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("component")
@@ -224,8 +224,9 @@ def along(a: np.ndarray, b: np.ndarray, shift: int, lo: int, hi: int, window: in
 
 
 def extending(window: int) -> Callable:
-    """For mapInArrow: (doc, first_doc, own, shifts, text, first_text) to the equal spans. In
-    one document the window that is the first stays, also where spans overlap with themselves."""
+    """For mapInArrow: (doc, first_doc, own, shifts, text, first_text) to (doc, first_doc,
+    spans), the equal ones of the pair. In one document the window that is the first stays, also
+    where spans overlap with themselves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, AT_A_TIME):
@@ -242,10 +243,13 @@ def extending(window: int) -> Callable:
                         kept = max(0, first + window - begin) if own else 0
                         if begin + kept < end:
                             rows.append((i, begin + kept, end, first + kept))
-                at, begin, end, first = (pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 4))
+                own, begin, end, first = (np.array(c, np.int64) for c in (zip(*rows) if rows else [[]] * 4))
+                at, cuts = np.unique(own, return_index=True)
+                spans = pa.StructArray.from_arrays([pa.array(c) for c in (begin, end, first)], ["start", "end", "first_start"])
+                lists = pa.ListArray.from_arrays(pa.array(np.append(cuts, len(own)), pa.int32()), spans)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc").take(at), part.column("first_doc").take(at), begin, end, first],
-                    ["doc", "first_doc", "start", "end", "first_start"])
+                    [part.column("doc").take(pa.array(at)), part.column("first_doc").take(pa.array(at)), lists],
+                    ["doc", "first_doc", "spans"])
     return run
 
 
@@ -288,13 +292,19 @@ def repeated_windows(docs: DataFrame, window: int, every: int) -> DataFrame:
             .join(texts, "doc").select("doc", "first_doc", F.expr("doc = first_doc").alias("own"), "shifts", "text", "first_text"))
     document = "struct<id:bigint,text:bigint>"
     spans = cut_lineage(full.mapInArrow(
-        extending(window), f"doc {document}, first_doc {document}, start long, end long, first_start long"))
+        extending(window), f"doc {document}, first_doc {document}, "
+                           "spans array<struct<start: bigint, end: bigint, first_start: bigint>>"))
 
     ends = F.col("first_start") + F.col("end") - F.col("start")
-    parts = cut_lineage(joined_spans(spans.select("first_doc", F.col("first_start").alias("start"), ends.alias("end")), "first_doc")
+    each = spans.select("first_doc", F.inline("spans"))
+    parts = cut_lineage(joined_spans(each.select("first_doc", F.col("first_start").alias("start"), ends.alias("end")), "first_doc")
                         .select("first_doc", "start", "end", _class("first_doc", "whole").alias("class")))
-    of = small(parts.select("first_doc", F.col("start").alias("first_start"), "class"))
-    copies = cut_lineage(joined_spans(spans.join(of, ["first_doc", "first_start"]), "doc", "class")
+    # a document's classes are set apart: a span is of the last one that begins at its first start or before
+    of = small(parts.groupBy("first_doc").agg(F.collect_set("class.place").alias("places")))
+    classed = spans.join(of, "first_doc").select("doc", "first_doc", F.inline(F.transform("spans", lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"),
+        F.array_max(F.filter("places", lambda p: p <= s["first_start"])).alias("place")))))
+    copies = cut_lineage(joined_spans(classed.withColumn("class", _class("first_doc", "place")), "doc", "class")
                          .groupBy("doc", "class", "whole").agg(F.max("end").alias("end"))
                          .select("doc", "class", F.col("whole").alias("start"), "end"))
     kept = cut_lineage(parts.groupBy("class").agg(F.max("end").alias("end")))

@@ -157,6 +157,23 @@ def test_repeated_passages(spark, tmp_path):
             assert len({class_of.get(p) for p in places}) == 1 and class_of.get(places[0])
 
 
+def test_passages_of_a_pair_are_one_row_until_their_class_is_known(spark, tmp_path, monkeypatch):
+    """Ten runs in each of three copies: the join with the first document's classes has a row for each pair."""
+    runs = [[f"r{k}x{j}" for j in range(60)] for k in range(10)]
+    rows = [(d, " ".join(w for k, r in enumerate(runs) for w in [*r, f"own{d}x{k}"])) for d in range(4)]
+    written, cut = [], passages.cut_lineage
+
+    def seen(df):
+        written.append(cut(df))
+        return written[-1]
+    monkeypatch.setattr(passages, "cut_lineage", seen)
+    found = passages.op8_passages(spark, folder(tmp_path, rows)).where("kind = 'passage'").collect()
+    pairs, = [df.select("doc", "first_doc").collect() for df in written if "spans" in df.columns]
+    assert len(set(pairs)) == len(pairs) < 30
+    assert {(r.doc_id, r.start, r.end) for r in found} == {(d, 61 * k, 61 * k + 60) for d in range(4) for k in range(10)}
+    assert len({r.class_id for r in found}) == 10
+
+
 def _groups(group):
     members = defaultdict(list)
     for i, g in enumerate(group):
