@@ -56,7 +56,8 @@ def _offsets(texts: pa.Array) -> np.ndarray:
 class Words:
     """The words of ``texts`` in order, A-Z lower-cased unless ``lower`` is false.
 
-    ``owner``, ``start``, ``end``: number of the text, and byte range in ``data``;
+    ``owner``, ``start``, ``end``: number of the text, and byte range in ``data``, where the
+    texts are cut at ``offsets``;
     ``begins``: whether the word is the first of its piece.
     """
 
@@ -70,7 +71,7 @@ class Words:
         if n:
             data = np.frombuffer(texts.buffers()[2], np.uint8, n, first)
             self.data[:n] = _LOWER[data] if lower else data
-        offsets = offsets - first
+        self.offsets = offsets = offsets - first
         kind = table[self.data[:n]]
         part = kind == PART
         edge = np.zeros(n + 1, bool)
@@ -114,6 +115,16 @@ class Words:
             a[i], b[i] = whole & 0xFFFFFFFFFFFFFFFF, whole >> 64
         return a, b
 
+    def digests(self) -> np.ndarray:
+        """The hash that ``shingles.words_of`` gives each word, taken once for equal words."""
+        coded = pa.array(self.hashes()[0]).dictionary_encode()
+        code = np.asarray(coded.indices)
+        at = np.zeros(len(coded.dictionary), np.int64)
+        at[code] = np.arange(len(code))
+        raw, digest = self.data.tobytes(), xxhash.xxh3_64_intdigest
+        return np.fromiter((digest(raw[i:j]) for i, j in zip(self.start[at].tolist(), self.end[at].tolist())),
+                           np.uint64, len(at))[code]
+
     def strings(self, which: np.ndarray) -> pa.StringArray:
         """The words with these numbers."""
         return cut_out(self.data, self.start[which], self.end[which])

@@ -29,10 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from eventlens.session import cut_lineage
+from eventlens.llm import byte_words
 from eventlens.llm.bag_minhash import bands, signatures
 from eventlens.llm.common import components, table, whole
 from eventlens.llm.pieces import AT_A_TIME
-from eventlens.llm.shingles import LENGTH, SHINGLE, bags, mix, overlap, shingles
+from eventlens.llm.shingles import LENGTH, SHINGLE, bags, mix, overlap, runs_of, shingles
 
 SIMILARITY = 0.8
 ROWS, BANDS = 7, 48
@@ -42,26 +43,40 @@ BROADCAST_ROWS = 1_000_000
 BLOCK, TOGETHER = 1024, 1024
 #: Columns of the matrices whose product gives the overlaps.
 WIDTH = 8192
+#: Blanks between words.
+BLANKS = byte_words.classes(gaps=" \t\n\x0b\x0c\r")
 
 
-def signing(size: int, rows: int, n_bands: int, at_a_time: int = AT_A_TIME) -> Callable:
+SIGNED = "fp string, n_shingles long, bands array<long>"
+
+
+def sign(fp: pa.Array, owner: np.ndarray, value: np.ndarray, rows: int, n_bands: int) -> pa.RecordBatch:
+    """(fp, n_shingles, bands) by the owner and hash of every shingle; texts without any are left out."""
+    n = np.bincount(owner, minlength=len(fp))
+    keys = bands(signatures(len(fp), *bags(owner, value), rows * n_bands), rows)
+    has = n > 0
+    flat = pa.array(np.ascontiguousarray(keys[has]).ravel(), pa.int64())
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(has.sum() + 1, dtype=np.int32) * n_bands), flat)
+    return pa.RecordBatch.from_arrays([fp.filter(pa.array(has)), pa.array(n[has], pa.int64()), lists],
+                                      ["fp", "n_shingles", "bands"])
+
+
+def signing(size: int, rows: int, n_bands: int) -> Callable:
     """For mapInArrow: (fp, text) to (fp, n_shingles, bands); texts without words are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, at_a_time):
-                part = batch.slice(start, at_a_time)
-                owner, value = shingles(part.column("text"), size)
-                n = np.bincount(owner, minlength=part.num_rows)
-                keys = bands(signatures(part.num_rows, *bags(owner, value), rows * n_bands), rows)
-                has = n > 0
-                flat = pa.array(np.ascontiguousarray(keys[has]).ravel(), pa.int64())
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(has.sum() + 1, dtype=np.int32) * n_bands), flat)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("fp").filter(pa.array(has)), pa.array(n[has], pa.int64()), lists],
-                    ["fp", "n_shingles", "bands"])
+            for start in range(0, batch.num_rows, AT_A_TIME):
+                part = batch.slice(start, AT_A_TIME)
+                yield sign(part.column("fp"), *shingles(part.column("text"), size), rows, n_bands)
     return run
 
 
+def byte_shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``shingles``, by other hashes, which are made faster: enough where only equality counts."""
+    found = byte_words.Words(texts, BLANKS, lower=False)
+    return runs_of(found.owner, found.hashes()[0], len(texts), size)
+
+
 def verifying(size: int, least: float) -> Callable:
     """For mapInArrow: (a, b, text_a, text_b) to the pairs (a, b) alike enough. Texts that come
     again, as that of a hub does, are split once."""
@@ -70,7 +85,7 @@ def verifying(size: int, least: float) -> Callable:
             for start in range(0, batch.num_rows, AT_A_TIME):
                 part = batch.slice(start, AT_A_TIME)
                 both = pa.concat_arrays([part.column("text_a"), part.column("text_b")]).dictionary_encode()
-                owner, value, count = bags(*shingles(both.dictionary, size))
+                owner, value, count = bags(*byte_shingles(both.dictionary, size))
                 at = np.searchsorted(owner, np.arange(len(both.dictionary) + 1))
                 bag = [(value[i:j], count[i:j]) for i, j in zip(at[:-1], at[1:])]
                 code = np.asarray(both.indices)
@@ -137,7 +152,7 @@ def comparing(size: int, least: float) -> Callable:
         key, node = np.asarray(rows.column("key")), np.asarray(rows.column("node"))
         component = np.asarray(rows.column("component"))
         _, at, code = np.unique(node, return_index=True, return_inverse=True)
-        owner, value, count = bags(*shingles(rows.column("text").combine_chunks().take(pa.array(at)), size))
+        owner, value, count = bags(*byte_shingles(rows.column("text").combine_chunks().take(pa.array(at)), size))
         cuts = np.searchsorted(owner, np.arange(len(at) + 1))
         bag = [(value[i:j], count[i:j]) for i, j in zip(cuts[:-1], cuts[1:])]
         found = []
@@ -187,14 +202,18 @@ def fingerprint(text: str):
 
 
 def classes(docs: DataFrame, text: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY,
-            rows: int = ROWS, n_bands: int = BANDS, at_a_time: int = AT_A_TIME) -> DataFrame:
-    """(fp, n_shingles, component) for each distinct text with words; written.
+            rows: int = ROWS, n_bands: int = BANDS) -> DataFrame:
+    """(fp, n_shingles, component) for each distinct text with words; written."""
+    source = docs.select(fingerprint(text).alias("fp"), whole(text).alias("text"))
+    return classes_of(source.mapInArrow(signing(size, rows, n_bands), SIGNED), source, size, similarity)
+
+
+def classes_of(signed: DataFrame, source: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The same for rows (fp, n_shingles, bands) and the (fp, text) of at least these rows.
 
     Signatures are made in one pass and one row per distinct text is shuffled; after that
     only band keys move, and the texts of nodes that share a bucket with others.
     """
-    source = docs.select(fingerprint(text).alias("fp"), whole(text).alias("text"))
-    signed = source.mapInArrow(signing(size, rows, n_bands, at_a_time), "fp string, n_shingles long, bands array<long>")
     nodes = cut_lineage(signed.dropDuplicates(["fp"]).withColumn("node", F.monotonically_increasing_id()))
     keys = nodes.select("node", F.explode("bands").alias("key"))
     shared = cut_lineage(keys.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n"))

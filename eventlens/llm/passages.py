@@ -3,8 +3,8 @@
 Paragraphs (lines of as many words as a shingle has, five, or more) are compared by the
 MinHash bands, exact Jaccard check and components of ``near_dups``, with bands tuned for
 recall: 8 bands of 3 places find a pair at 0.8 with a probability of 0.997, and equal
-paragraphs always. Each line is signed in its task, and one row of equal lines goes on.
-``least`` sets a greater least length; by default there is none.
+paragraphs always. Lines are found on the bytes of whole texts and signed in the same task;
+one row of equal lines goes on. ``least`` sets a greater least length; by default there is none.
 
 A passage inside a paragraph has other neighbours in each document, so no paragraph shows it;
 windows of 32 words do, and equal windows are one class. Taken are the window with the least
@@ -29,6 +29,7 @@ Defined results
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,17 +38,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventlens.session import cut_lineage
 from eventlens.llm import byte_words
-from eventlens.llm.common import table, whole, word_count
-from eventlens.llm.near_dups import BROADCAST_ROWS, SIMILARITY, classes, fingerprint
+from eventlens.llm.common import table, whole
+from eventlens.llm.near_dups import BLANKS, BROADCAST_ROWS, SIGNED, SIMILARITY, classes_of, fingerprint, sign
 from eventlens.llm.pieces import AT_A_TIME
-from eventlens.llm.shingles import SHINGLE, mix, words_of
+from eventlens.llm.shingles import SHINGLE, mix, runs_of, split_words
 
 WINDOW = 32
 #: Of so many consecutive windows one is taken: equal runs of WINDOW + EVERY - 1 words share one.
 EVERY = 20
 ROWS, BANDS = 3, 8
-#: Lines that a worker signs at a time; they are short.
-LINES_AT_A_TIME = 4096
+#: Lines that a worker signs at a time: their arrays stay in the processor's cache.
+LINES_AT_A_TIME = 1024
 #: Window keys, a number each, that may be broadcast (32 MB of keys); more are joined by shuffle.
 BROADCAST_KEYS = 4_000_000
 #: Odd multiplier of the rolling hash, and its inverse modulo 2 ** 64.
@@ -55,8 +56,9 @@ TURN = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-#: Blanks between words, as everywhere in this subpackage.
-_CLASSES = byte_words.classes(gaps=" \t\n\x0b\x0c\r")
+#: Blanks between words, as everywhere in this subpackage; for lines, their ends are breaks.
+_CLASSES = BLANKS
+_LINES = byte_words.classes(gaps=" \t\x0b\x0c\r", breaks="\n")
 _STOP, _CLOSE = np.zeros(256, bool), np.zeros(256, bool)
 _STOP[list(b".!?")] = True
 _CLOSE[list(b"\"')]")] = True
@@ -169,13 +171,61 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def lines_of(texts: pa.Array, least: int) -> tuple[byte_words.Words, np.ndarray, dict[str, np.ndarray]]:
+    """The words of the texts, the number of the line that each is in, -1 for lines of fewer
+    than ``least`` words, and by number the lines' owner, place, n_words and md5."""
+    found = byte_words.Words(texts, _LINES, lower=False)
+    heads = np.flatnonzero(found.begins)
+    n = np.diff(heads, append=len(found))
+    long = n >= least
+    line = np.repeat(np.where(long, np.cumsum(long) - 1, -1), n)
+    heads, n = heads[long], n[long]
+    owner, cuts = found.owner[heads], found.offsets
+    ends = np.flatnonzero(found.data[:cuts[-1]] == 10)
+    after = np.searchsorted(ends, found.start[heads])     # the line's own end, or that of a later text's
+    start = np.maximum(cuts[owner], np.append(-1, ends)[after] + 1)
+    end = np.minimum(cuts[owner + 1], np.append(ends, cuts[-1])[after])
+    raw = found.data.tobytes()
+    fp = [hashlib.md5(raw[i:j]).hexdigest() for i, j in zip(start.tolist(), end.tolist())]
+    return found, line, {"owner": owner, "place": after - np.searchsorted(ends, cuts[owner]), "n_words": n, "fp": fp}
+
+
+def line_rows(least: int) -> Callable:
+    """For mapInArrow: (id, hash, text) to (fp, id, hash, place, n_words) of the lines."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in byte_words.parts(batches):
+            _, _, lines = lines_of(part.column("text"), least)
+            own = pa.array(lines["owner"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lines["fp"], pa.string()), part.column("id").take(own), part.column("hash").take(own),
+                 pa.array(lines["place"], pa.int64()), pa.array(lines["n_words"], pa.int64())],
+                ["fp", "id", "hash", "place", "n_words"])
+    return run
+
+
+def signing_lines(least: int, size: int, rows: int, n_bands: int) -> Callable:
+    """For mapInArrow: (text) to (fp, n_shingles, bands) of the lines."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in byte_words.parts(batches):
+            found, line, lines = lines_of(part.column("text"), least)
+            word, fp = found.digests()[line >= 0], pa.array(lines["fp"], pa.string())
+            line = line[line >= 0]
+            for first in range(0, len(fp), LINES_AT_A_TIME):
+                some = fp.slice(first, LINES_AT_A_TIME)
+                i, j = np.searchsorted(line, (first, first + len(some)))
+                yield sign(some, *runs_of(line[i:j] - first, word[i:j], len(some), size), rows, n_bands)
+    return run
+
+
 def repeated_paragraphs(docs: DataFrame, least: int | None, size: int, similarity: float, rows: int, n_bands: int) -> DataFrame:
     """(doc, place, n_words, class_id, first_doc, first_place) for (doc, text)."""
-    lines = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(
-        word_count("line") >= max(size, least or 0))
-    found = classes(lines.select("line"), "line", size, similarity, rows, n_bands, LINES_AT_A_TIME)
-    units = cut_lineage(lines.select(fingerprint("line").alias("fp"), "doc", F.col("place").cast("long").alias("place"),
-                                     word_count("line").alias("n_words")))    # read twice
+    least = max(size, least or 0)
+    signed = docs.select("text").mapInArrow(signing_lines(least, size, rows, n_bands), SIGNED)
+    every = docs.select(F.explode(F.split("text", "\n")).alias("text"))
+    found = classes_of(signed, every.select(fingerprint("text").alias("fp"), "text"), size, similarity)
+    units = docs.select("doc.id", F.col("doc.text").alias("hash"), "text").mapInArrow(
+        line_rows(least), "fp string, id long, hash long, place long, n_words long")
+    units = cut_lineage(units.select("fp", F.struct("id", F.col("hash").alias("text")).alias("doc"), "place", "n_words"))    # read twice
     by_text = units.select("fp", F.xxhash64("doc").alias("own")).groupBy("fp").agg(F.min("own").alias("lo"), F.max("own").alias("hi"))
     known = cut_lineage(by_text.join(found.select("fp", "component"), "fp"))
     again = known.groupBy("component").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("component")
@@ -232,7 +282,7 @@ def extending(window: int) -> Callable:
             for start in range(0, batch.num_rows, AT_A_TIME):
                 part = batch.slice(start, AT_A_TIME)
                 both = pa.concat_arrays([part.column("text"), part.column("first_text")]).dictionary_encode()
-                owner, word, _, _ = words_of(both.dictionary)
+                owner, word, _ = split_words(both.dictionary)
                 cuts = np.searchsorted(owner, np.arange(len(both.dictionary) + 1))
                 texts = [word[i:j] for i, j in zip(cuts[:-1], cuts[1:])]
                 code, rows = np.asarray(both.indices), []

@@ -21,8 +21,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """(owner and number of every word in order, the distinct words by number, their hashes)."""
+def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(owner and number of every word in order, the distinct words by number)."""
     lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
     owner = np.asarray(pc.list_parent_indices(lists))
     found = pc.list_flatten(lists)
@@ -30,18 +30,27 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndar
     if not real.all():
         found, owner = found.filter(pa.array(real)), owner[real]
     coded = found.dictionary_encode()
-    table = np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) for w in coded.dictionary.to_pylist()),
-                        np.uint64, len(coded.dictionary))
-    return owner.astype(np.int64), np.asarray(coded.indices), coded.dictionary, table
+    return owner.astype(np.int64), np.asarray(coded.indices), coded.dictionary
+
+
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """(owner and number of every word in order, the distinct words by number, their hashes)."""
+    owner, code, distinct = split_words(texts)
+    table = np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) for w in distinct.to_pylist()), np.uint64, len(distinct))
+    return owner, code, distinct, table
 
 
 def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(owner, hash) of every shingle, repeats included: runs of ``size`` words, or all the
     words of a text with fewer. A text without words has none."""
     owner, code, _, hashes = words_of(texts)
-    word = hashes[code]
+    return runs_of(owner, hashes[code], len(texts), size)
+
+
+def runs_of(owner: np.ndarray, word: np.ndarray, texts: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of so many texts by the owner and hash of every word."""
     n = len(word)
-    k = np.bincount(owner, minlength=len(texts))
+    k = np.bincount(owner, minlength=texts)
     starts = np.cumsum(k) - k
     width = np.minimum(size, k)[owner]      # words of the shingle that begins at a word
     place = np.arange(n) - starts[owner]
@@ -60,7 +69,9 @@ def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
 
 def bags(owner: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(owner, value, count) of the distinct values of each owner, in order of both."""
-    order = np.lexsort((value, owner))
+    order = np.argsort(value)
+    small = len(owner) and owner.max() < 1 << 16     # sorted by digits
+    order = order[np.argsort(owner[order].astype(np.uint16) if small else owner[order], kind="stable")]
     owner, value = owner[order], value[order]
     new = np.ones(len(owner), bool)
     new[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])

@@ -1,6 +1,7 @@
 """The array kernels against brute force; no Spark."""
 
 import collections
+import hashlib
 import re
 
 import numpy as np
@@ -130,6 +131,63 @@ def test_sentences_end_as_the_pattern_says():
     assert passages.ends_sentence(found).tolist() == [bool(re.search(r"""[.!?]["')\]]*$""", w)) for w in words]
 
 
+LINES = ["", "\n\n", "one two three four five", " a b\tc d\x0be \n\nx y z u v w\r\n é è ü 東京 ñ o ", "a b c d\nf g h i\n", None,
+         "l" * 70 + " m n o p\n" + "l" * 69 + "k m n o p q" * 3 + "\n a a a a a a a a", "\nno end of a line here\x0cor here"]
+
+
+def long_lines(least):
+    return [(i, place, line, len(line.split())) for i, text in enumerate(LINES) for place, line in enumerate((text or "").split("\n"))
+            if len(re.findall(r"[^\x20\x09-\x0D]+", line)) >= least]
+
+
+@pytest.mark.parametrize("part", [1, 4 << 20])
+def test_lines_are_found_on_the_bytes(monkeypatch, part):
+    monkeypatch.setattr(passages.byte_words, "PART_BYTES", part)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(LINES))), pa.array(range(50, 50 + len(LINES))), pa.array(LINES)],
+                                       ["id", "hash", "text"])
+    for least in (5, 7):
+        want = [(hashlib.md5(line.encode()).hexdigest(), i, 50 + i, place, n) for i, place, line, n in long_lines(least)]
+        for some in (batch, batch.slice(2, 5)):
+            kept = [w for w in want if w[1] in some.column("id").to_pylist()]
+            got = pa.Table.from_batches(passages.line_rows(least)(iter([some])))
+            assert [tuple(r.values()) for r in got.to_pylist()] == kept
+
+
+def test_lines_are_signed_like_texts(monkeypatch):
+    """The bands of a line are those of the line as a text, also where lines are signed a few at a time."""
+    lines = [line for *_, line, _ in long_lines(5)]
+    fp = [hashlib.md5(x.encode()).hexdigest() for x in lines]
+    want = pa.Table.from_batches(near_dups.signing(5, 3, 8)(iter([pa.RecordBatch.from_arrays(
+        [pa.array(fp), pa.array(lines)], ["fp", "text"])])))
+    for at_a_time in (1, 3, 1024):
+        monkeypatch.setattr(passages, "LINES_AT_A_TIME", at_a_time)
+        got = pa.Table.from_batches(passages.signing_lines(5, 5, 3, 8)(iter([pa.RecordBatch.from_arrays([pa.array(LINES)], ["text"])])))
+        assert got.to_pylist() == want.to_pylist() and got.num_rows == len(lines)
+
+
+def test_words_are_hashed_one_by_one_only_for_signatures(monkeypatch):
+    """Likeness and equal runs ask for equality only."""
+    a, b = " ".join(f"w{i}" for i in range(60)), "x " + " ".join(f"w{i}" for i in range(60)) + " y"
+    monkeypatch.setattr(shingles.xxhash, "xxh3_64_intdigest", None)
+    pair = pa.RecordBatch.from_pylist([{"a": 1, "b": 2, "text_a": a, "text_b": b}, {"a": 1, "b": 3, "text_a": a, "text_b": "z"}])
+    assert [x.to_pylist() for x in near_dups.verifying(5, 0.8)(iter([pair]))] == [[{"a": 1, "b": 2}]]
+    rows = pa.Table.from_pylist([{"key": 1, "node": n, "component": n, "text": t} for n, t in ((1, a), (2, b), (3, "z"))])
+    assert near_dups.comparing(5, 0.8)(rows).to_pylist() == [{"a": 1, "b": 2}]
+    shifts = pa.RecordBatch.from_pylist([{"doc": 2, "first_doc": 1, "own": False, "text": b, "first_text": a,
+                                          "shifts": [{"shift": 1, "lo": 1, "hi": 1}]}])
+    found, = passages.extending(32)(iter([shifts]))
+    assert found.to_pylist() == [{"doc": 2, "first_doc": 1, "spans": [{"start": 1, "end": 61, "first_start": 0}]}]
+
+
+def test_bags_count_equal_values_of_an_owner():
+    rng = np.random.default_rng(8)
+    for owners in (3, 70_000):
+        owner, value = np.sort(rng.integers(0, owners, 400)), rng.integers(0, 9, 400).astype(np.uint64)
+        owner[-1] = owners - 1
+        want = sorted(collections.Counter(zip(owner.tolist(), value.tolist())).items())
+        assert [((o, v), n) for o, v, n in zip(*(x.tolist() for x in shingles.bags(owner, value)))] == want
+
+
 def test_anchors_along_a_shift():
     rng = np.random.default_rng(7)
     for _ in range(60):
