@@ -52,14 +52,18 @@ def keyword_scores(messages: DataFrame, weights: DataFrame, *carry: str,
     word ties at zero and gets the lowest id. ``carry`` columns ride along.
     Rows that share a message_id keep their own scores.
 
+    A row's scores come out of a generator: Spark would else move a later test of the topic, as
+    a join with a filtered dimension makes one, below the scoring and write the whole scoring
+    into it, lists taken anew for each of their elements.
+
     Up to ``in_row`` weights become constants of the expression and every message is
     scored in its own row, without a shuffle. More are joined to the distinct
     token lists; the rows are the same.
     """
     scored = (scores_in_row(messages, weights) if fits(weights, in_row)
               else scores_by_join(messages, weights))
-    return scored.select("message_id", *carry, F.col("_topic").cast("string").alias("topic_id"),
-                         "score", "total")
+    found = F.struct(F.col("_topic").cast("string").alias("topic_id"), "score", "total")
+    return scored.select("message_id", *carry, F.inline_outer(F.array(found)))
 
 
 def scores_in_row(messages: DataFrame, weights: DataFrame) -> DataFrame:

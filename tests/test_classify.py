@@ -45,6 +45,15 @@ def test_topic_of_each_subject(messages, dim):
     assert {r.message_id: r.topic_id for r in rows.collect()} == EXPECTED
 
 
+def test_a_test_of_the_topic_does_not_repeat_the_scoring(messages, dim):
+    """A dimension with a condition on its id becomes a condition on the messages' topics."""
+    scores = classify.keyword_scores(classify.with_tokens(messages), classify.topic_weights(dim))
+    found = classify.topic_lookup(scores, dim.where("id <> '1'"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and plan.count("aggregate(") == 1
+    assert {r.message_id: r.topic_id for r in found.collect()} == {k: t for k, t in EXPECTED.items() if t != "1"}
+
+
 def test_named_function_agrees(spark, messages, dim):
     classify.register_class_topic(spark, classify.topic_weights(dim))
     messages.createOrReplaceTempView("m")
