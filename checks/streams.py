@@ -25,10 +25,11 @@ SLICES = 5
 
 
 def closed_transactions(spark, sf, raw=False):
-    """The events table as a stream of transactions with a watermark, from files in order of
+    """The events table as a stream of transactions with a watermark, from slices in order of
     time, one for each micro-batch, and a closing row.
 
-    The closing row is ten days later, twenty minutes where event times are squeezed: later
+    A slice is as many files as the table has splits, so that no task writes or reads it alone;
+    files without rows make up the number if some splits have none of it. The closing row is ten days later, twenty minutes where event times are squeezed: later
     than all windows. The watermark never passes its own window, so that does not come out.
     """
     events = read_table(spark, sf, "events").select(*EVENTS.names)
@@ -36,12 +37,15 @@ def closed_transactions(spark, sf, raw=False):
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     lo, hi = events.agg(F.min(micros), F.max(micros)).first()
     number = F.floor((micros - F.lit(lo)) * SLICES / F.lit(hi - lo + 1))
+    files = max(events.rdd.getNumPartitions(), 1)
     for i in range(SLICES):     # written one after the other, as their times of change give the order
-        events.where(number == i).coalesce(1).write.mode("append").parquet(path)
+        events.where(number == i).repartition(files).write.mode("append").parquet(path)
+        while len(spark.read.schema(EVENTS).parquet(path).inputFiles()) < (i + 1) * files:
+            spark.createDataFrame([], EVENTS).coalesce(1).write.mode("append").parquet(path)
     values = {"ts": F.expr(f"timestamp_micros({hi}) + interval 10 days"), "event_id": F.lit(-1), "user_id": F.lit(-1)}
     (spark.range(1).select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENTS])
      .coalesce(1).write.mode("append").parquet(path))
-    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", "1").parquet(path)
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", str(files)).parquet(path)
     time = F.col("ts").cast("timestamp") if raw else standin.squeezed_time()
     return jobs.with_watermark(standin.as_transactions(stream, time))
 

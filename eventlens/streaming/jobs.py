@@ -7,7 +7,7 @@ from datetime import datetime
 
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -115,11 +115,17 @@ def documented_rule(windows: DataFrame) -> DataFrame:
     return rules.moved(rules.documented_counts(with_previous_point(windows)))
 
 
+# one customer's state, and the rows of the step that keeps it: its times are whole microseconds
+_LAST = T.StructType([*_STATE, T.StructField("until", T.LongType())])
+_STEP = T.StructType([*(T.StructField("_end", T.LongType()) if f.name == "last_transaction_time" else f for f in TRACKED)])
+
+
 class LastPoint(StatefulProcessor):
     """A customer's last point as value state, forgotten ``keep`` after the last window.
 
-    Windows of a batch are handled in the order of their ends. A timer in event time, moved
-    with every window, clears the state of a customer who has gone silent.
+    Windows of a batch are handled in the order of their ends. A timer in event time
+    clears the state of a customer who has gone silent. The state holds the time itself, moved
+    with every window; a timer that fires before it is set anew, so that a window costs no timer.
     """
 
     def __init__(self, keep_seconds: float):
@@ -127,26 +133,30 @@ class LastPoint(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.point = handle.getValueState("point", _STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        found = pd.concat(list(rows)).sort_values("last_transaction_time")
-        known = self.point.get() if self.point.exists() else (None, None)
-        before = pd.DataFrame([tuple(known)], columns=["point_lat", "point_lon"], dtype="float64")
-        points = pd.concat([before, found[["point_lat", "point_lon"]]]).ffill()
-        found["previous_lat"] = points["point_lat"].to_numpy()[:-1]
-        found["previous_lon"] = points["point_lon"].to_numpy()[:-1]
-        lat, lon = points["point_lat"].iloc[-1], points["point_lon"].iloc[-1]
-        if pd.notna(lat):
-            self.point.update((float(lat), float(lon)))
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            end = found["last_transaction_time"].iloc[-1]
-            self.handle.registerTimer(int(end.timestamp() * 1000) + self.keep)
-        yield found[TRACKED.names]
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.point.clear()
+        self.point = handle.getValueState("point", _LAST)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        known, step = self.point.get(), Row(*_STEP.names)
+        lat, lon, _ = known or (None, None, None)
+        found = []
+        for row in sorted(rows, key=lambda r: r["_end"]):
+            found.append(step(*(row[n] for n in _STEP.names[:-2]), lat, lon))
+            # a missing number may also come as NaN
+            lat, lon = (was if p is None or p != p else p for p, was in ((row["point_lat"], lat), (row["point_lon"], lon)))
+            end = row["_end"]
+        if lat is not None:
+            until = end // 1000 + self.keep
+            self.point.update((lat, lon, until))
+            if known is None:
+                self.handle.registerTimer(until)
+        return iter(found)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        known = self.point.get()
+        if known and known[2] > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(known[2])
+        else:
+            self.point.clear()
         return iter([])
 
     def close(self) -> None:
@@ -161,8 +171,10 @@ def documented_rule_stream(transactions: DataFrame, tie_break: str | None = None
     ``keep_seconds`` of event time is dropped; the next window then has no previous point.
     """
     windows = rules.windows_with_point(transactions, tie_break, width, keep_time="closed_at")
-    tracked = windows.groupBy("customer").transformWithStateInPandas(
-        LastPoint(keep_seconds), TRACKED, "append", "eventTime")
+    rows = windows.withColumn("_end", F.unix_micros("last_transaction_time")).drop("last_transaction_time")
+    tracked = (rows.groupBy("customer").transformWithState(LastPoint(keep_seconds), _STEP, "append", "eventTime")
+               .withColumnRenamed("_end", "last_transaction_time")
+               .withColumn("last_transaction_time", F.timestamp_micros("last_transaction_time")))
     points = TRACKED.names[len(TRANSACTION_RESULTS):]
     clean = tracked.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in points})
     return rules.moved(rules.documented_counts(clean))

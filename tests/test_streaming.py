@@ -250,3 +250,29 @@ def test_messages_see_the_dimension_of_their_batch(spark, tmp_path):
     got = connectors.read_upserted(spark, str(out), schemas.MESSAGE_TOPICS, ["message_id"]).collect()
     assert {r.message_id: r.topic_description for r in got} == {"m1": "after", "m3": "after"}
     assert seen == [0, 1, 2]
+
+
+def test_slices_are_as_many_files_as_the_table_has_splits(spark, tmp_path, monkeypatch):
+    """A slice is one micro-batch of several files, some perhaps empty; the rule's rows are those of the batch."""
+    from checks import streams
+    from eventlens.sources import standin
+    own = spark.range(400).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, cast(id * id div 4 as int)) as ts",
+        "id % 7 as user_id", "'view' as event_type", "cast(id % 11 + 1 as double) as value", "'{}' as props")
+    own.where("event_id < 300 or event_id >= 370").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))     # a split for each file
+    monkeypatch.setattr(streams, "scratch_path", lambda spark, name: str(tmp_path / name))
+    try:
+        stream = streams.closed_transactions(spark, str(tmp_path))
+        path, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+        query = jobs.write_table_stream(jobs.documented_rule_stream(stream, "event_id"), path, progress, streams.ONCE)
+        query.awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    read = [p.numInputRows for p in query.recentProgress if p.numInputRows]
+    assert len(list((tmp_path / "slices").glob("*.parquet"))) == 3 * streams.SLICES + 1
+    assert len(read) == streams.SLICES and read[-1] == 1 and sum(read) == 331      # one slice has no rows
+    names = streams.DISTANCE.names
+    batch = rules.rule_documented(standin.transactions(spark, str(tmp_path)), "event_id").select(*names)
+    got = spark.read.schema(streams.DISTANCE).parquet(path).select(*names)
+    assert sorted(map(str, got.collect())) == sorted(map(str, batch.collect())) and batch.count() > 0
